@@ -1,0 +1,115 @@
+"""Operators on literal rows: identity, redaction, sections, greedy duplicates, upserts and streaming."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructType
+
+from gristmill.functions import text as T
+from gristmill.functions import web
+from gristmill.operators import near_dup, sanitise, serving
+from gristmill.sources import tables
+from gristmill.streaming import flows
+
+
+def test_canonical_url(spark):
+    rows = [("HTTPS://Example.COM:443/a?b=2&a=1&utm_source=x&c=#frag", "https://example.com/a?a=1&b=2"), ("http://x.org", "http://x.org/"), ("ftp://x.org/", None), ("http://x.org:80/?gclid=1", "http://x.org/")]
+    df = spark.createDataFrame(rows, "u string, want string").withColumn("got", web.canonical_url(F.col("u")))
+    assert all(r.got == r.want for r in df.collect())
+    again = df.select(web.canonical_url(F.col("got")).alias("twice"), "got").collect()
+    assert all(r.twice == r.got for r in again)
+
+
+@pytest.mark.parametrize(("raw", "want"), [(None, "unknown"), ("  N/A ", "unknown"), ("MIT", "MIT"), ("MIT License", "MIT License"), ("cc by-sa 4.0", "CC-BY-SA-4.0"), ("https://creativecommons.org/licenses/by-nc-sa/3.0/", "CC-BY-NC-SA-3.0"), ("https://creativecommons.org/publicdomain/zero/1.0/", "CC0-1.0"), ("Apache 2.0", "Apache-2.0")])
+def test_licences(spark, raw, want):
+    assert spark.createDataFrame([(raw,)], "r string").select(T.normalized_licence(F.col("r"))).first()[0] == want
+
+
+def test_sanitise():
+    text, flags, blocking, n = sanitise.sanitise("Telephone: +49 30 1234 5678 mail a@b.org and a@b.org; 4111 1111 1111 1111")
+    assert "[PHONE]" in text and "[CREDIT_CARD]" in text and text.count("a@b.org") == 1 and text.count("[EMAIL]") == 1
+    assert flags == ["credit_card", "email", "phone"] and blocking == ["credit_card"] and n == 3
+    assert "a@b.org" not in sanitise.sanitise("a@b.org a@b.org", every=True)[0]
+    assert sanitise.sanitise("")[1] == []
+
+
+def test_sections():
+    got = sanitise.sections("# Title\n\nintro\n## Methods\ntext\n## Empty\n\n## Results\nmore")
+    assert [(s["title"], s["text"]) for s in got] == [("Document body", "intro"), ("Methods", "text"), ("Results", "more")]
+
+
+def test_ordinal(spark):
+    r = spark.createDataFrame([([0.0] * 6,), ([0.0, 0.0, 0.0, 0.0, 0.0, 50.0],)], "x array<double>").select(T.ordinal(F.col("x")).alias("o")).collect()
+    assert abs(r[0].o.score - 2.5) < 1e-9 and r[0].o.klass == 2 and abs(r[0].o.confidence) < 1e-9
+    assert r[1].o.klass == 5 and r[1].o.confidence > 0.99
+
+
+def sequential(rows):
+    owner, anchor, out = {}, {}, {}
+    for doc, sig in rows:
+        keys = [(b, *sig[4 * b : 4 * b + 4]) for b in range(28)]
+        hit = None
+        for k in keys:
+            c = owner.get(k)
+            if c is not None and sum(x == y for x, y in zip(sig, anchor[c], strict=True)) / 112 >= 0.8:
+                hit = c
+                break
+        if hit is None:
+            anchor[doc] = sig
+            for k in keys:
+                owner.setdefault(k, doc)
+        out[doc] = doc if hit is None else hit
+    return out
+
+
+def test_near_duplicates_equal_sequential(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = {r.doc_id: r.cluster for r in near_dup.clusters(docs).collect()}
+    rows = [(r.doc_id, near_dup.lanes(r.text)) for r in docs.orderBy("doc_id").collect()]
+    assert got == sequential([(i, s) for i, s in rows if s]) and len(set(got.values())) < len(got)
+
+
+def test_upserts(spark):
+    schema = "doc_id bigint, scoring_version string, classifier_revision string, policy_revision string, trace_id string"
+    a = spark.createDataFrame([(1, "s", "c", "p", "b"), (2, "s", "c", "p", "a")], schema)
+    b = spark.createDataFrame([(1, "s", "c", "p", "a"), (1, "s", "c", "p", "c"), (2, "s", "c", "p", "z")], schema)
+    once = serving.upsert_smallest_trace(a, b)
+    assert sorted((r.doc_id, r.trace_id) for r in once.collect()) == [(1, "a"), (2, "a")]
+    assert sorted(map(tuple, serving.upsert_smallest_trace(once, b).collect())) == sorted(map(tuple, once.collect()))
+    last = serving.upsert_last(spark.createDataFrame([("x", 0, 1)], "k string, at int, v int"), spark.createDataFrame([("x", 1, 2), ("x", 2, 3), ("y", 1, 4)], "k string, at int, v int"), "k", "at")
+    assert sorted(tuple(r) for r in last.collect()) == [("x", 2, 3), ("y", 1, 4)]
+
+
+def test_cutoff_and_marks(spark):
+    df = spark.createDataFrame([(1, 0), (2, 13_600), (3, 13_601), (4, None)], "k int, at bigint")
+    assert [r.k for r in serving.not_expired(df, "at", 100_000).collect()] == [3]
+    assert sorted(r.k for r in serving.new_since(df, "at", "k", 13_600, [2]).collect()) == [3]
+    cursor = serving.encode_cursor("newest", {"valid_from": 1, "doc_id": 2})
+    assert serving.decode_cursor(cursor, "newest") == {"valid_from": 1, "doc_id": 2}
+    with pytest.raises(ValueError):
+        serving.decode_cursor(cursor, "quality")
+
+
+def test_stream_upserts_and_replays(spark, tmp_path):
+    schema = StructType().add("doc_id", LongType()).add("scoring_version", StringType()).add("classifier_revision", StringType()).add("policy_revision", StringType()).add("trace_id", StringType())
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+
+    def send(name, *lines):
+        (inbox / name).write_text("\n".join(lines))
+        raw = spark.readStream.schema("value string").text(str(inbox))
+        flows.run_available(raw, schema, str(tmp_path / "out"), str(tmp_path / "dead"), str(tmp_path / "ck"))
+
+    row = lambda d, t: json.dumps({"doc_id": d, "scoring_version": "s", "classifier_revision": "c", "policy_revision": "p", "trace_id": t})
+    send("a.txt", row(1, "b"), row(2, "x"), "{broken")
+    send("b.txt", row(1, "a"), row(1, "c"))
+    assert sorted((r.doc_id, r.trace_id) for r in flows.current(spark, str(tmp_path / "out")).collect()) == [(1, "a"), (2, "x")]
+    assert spark.read.parquet(str(tmp_path / "dead")).count() == 1
+
+
+def test_partitioned_sink(spark, tmp_path):
+    df = spark.createDataFrame([(1, "en", 1, 1_780_000_000), (2, "de", 2, 1_780_000_000)], "doc_id int, lang string, risk_tier int, valid_from bigint")
+    tables.write_decisions(df, str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t")).filter("lang = 'de'").count() == 1
+    assert tables.evolved(df, {"lang": "language"}, {"extra": "string"}).columns == ["doc_id", "language", "risk_tier", "valid_from", "extra"]
