@@ -25,9 +25,10 @@ from pyspark.sql import functions as F
 
 from gristmill.llm.common import WordTable, is_held_out, labelled_sample, lockstep, map_texts, remainder
 
-PER_CLASS = {0: 4500, 1: 1500}  #: documents of the sample, by label
+PER_CLASS = {0: 3600, 1: 1200}  #: documents of the sample, by label
 BUCKETS = 1 << 18
 CHAIN_WORDS = 1500  #: longer training documents take part in the labelling of tokens, not in the chain's gradient
+CHAIN_DOCS = 1000  #: documents of each class whose tokens the chain learns from
 ROUNDS = 25
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
@@ -38,10 +39,16 @@ def features(word: str) -> list[str]:
     return [f"w{w}", *(f"p{n}{w[:n]}" for n in (4, 5, 6) if len(w) >= n), f"s{w[-3:]}"] if w else []
 
 
-def hashed(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed features of all words and the number of each word's."""
-    own = [[zlib.crc32(f.encode("utf-8", "surrogatepass")) % BUCKETS for f in features(w)] or [BUCKETS] for w in words]
-    return np.array([f for x in own for f in x], np.int64), np.fromiter(map(len, own), np.int64, len(own))
+def hashed(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the features of all words (-1 for a word without), whether each is the word or a stem, and each word's number."""
+    own = [features(w) for w in words]
+    flat = np.array([h for x in own for h in ([zlib.crc32(f.encode("utf-8", "surrogatepass")) for f in x] or [-1])], np.int64)
+    stem = np.array([v for x in own for v in ([f[0] != "s" for f in x] or [False])], bool)
+    return flat, stem, np.array([len(x) or 1 for x in own], np.int64)
+
+
+def _slots(flat: np.ndarray) -> np.ndarray:
+    return np.where(flat >= 0, flat % BUCKETS, BUCKETS)
 
 
 def marginal_logits(u: np.ndarray, lengths: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -72,36 +79,42 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
 
 
-def token_labels(docs: list[list[str]], toxic: np.ndarray) -> set[str]:
-    """Words and stems that mark toxic tokens: frequent in toxic documents, rare in clean ones."""
-    seen: dict[str, list[int]] = {}
-    for words, y in zip(docs, toxic.tolist(), strict=True):
-        for f in {f for w in set(words) for f in features(w) if f[0] != "s"}:
-            seen.setdefault(f, [0, 0])[y] += 1
-    neg, pos = np.bincount(toxic, minlength=2).tolist()
+def token_labels(docs: list[np.ndarray], toxic: np.ndarray, flat: np.ndarray, stem: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Hashes of the words and stems that mark toxic tokens: frequent in toxic documents, rare in clean ones."""
+    starts = np.cumsum(n) - n
+    each: list[list[np.ndarray]] = [[], []]
+    for ids, y in zip(docs, toxic.tolist(), strict=True):
+        w = np.unique(ids)
+        at = np.repeat(starts[w] - (np.cumsum(n[w]) - n[w]), n[w]) + np.arange(int(n[w].sum()))
+        each[y].append(np.unique(flat[at][stem[at]]).astype(np.uint32))
+    neg, pos = len(each[0]), len(each[1])
+    (c_keys, c), (t_keys, t) = (np.unique(np.concatenate(x), return_counts=True) for x in each)
+    at = np.minimum(np.searchsorted(c_keys, t_keys), max(len(c_keys) - 1, 0))
+    c = np.where(c_keys[at] == t_keys, c[at], 0) if len(c_keys) else np.zeros(len(t_keys), np.int64)
     # A feature counts if, were it spread evenly, so lopsided a split would not be expected once among all features
     # (Chernoff's bound on the binomial tail, with Bonferroni's correction).
-    p, level = pos / (pos + neg), np.log(max(2, len(seen)) / 0.01)
-    out = set()
-    for f, (c, t) in seen.items():
-        q = t / (c + t)
-        if t >= 4 and q > max(p, 0.8):
-            tail = q * np.log(q / p) + ((1 - q) * np.log((1 - q) / (1 - p)) if q < 1 else 0)
-            if (c + t) * tail > level:
-                out.add(f)
-    return out
-
-
-def without_copies(docs: list[list[str]]) -> list[int]:
+    p, level = pos / (pos + neg), np.log(max(2, len(c_keys) + len(t_keys)) / 0.01)
+    q = t / (c + t)
+    tail = q * np.log(q / p) + np.where(q < 1, (1 - q) * np.log(np.maximum(1 - q, 1e-12) / (1 - p)), 0)
+    return t_keys[(t >= 4) & (q > max(p, 0.8)) & ((c + t) * tail > level)].astype(np.int64)
+
+
+def without_copies(docs: list[np.ndarray]) -> list[int]:
     """Positions of the documents that are no near copy of an earlier one, by the smallest hashes of their five-word shingles.
 
     Copies are not independent evidence: a word that one toxic text brings along in a hundred copies is no toxic word.
     """
     seen: set[int] = set()
     kept = []
-    for i, words in enumerate(docs):
-        low = sorted({zlib.crc32(" ".join(words[j : j + 5]).encode("utf-8", "surrogatepass")) for j in range(max(1, len(words) - 4))})[:24]
-        if 4 * sum(h in seen for h in low) < len(low):
+    for i, ids in enumerate(docs):
+        x = np.concatenate([ids, np.full(max(0, 5 - len(ids)), -1)]).astype(np.uint64)
+        h = np.zeros(len(x) - 4, np.uint64)
+        with np.errstate(over="ignore"):
+            for j in range(5):
+                h = (h ^ x[j : len(x) - 4 + j]) * np.uint64(0x9E3779B97F4A7C15)
+                h ^= h >> np.uint64(29)
+        low = np.unique(h)[:24].tolist()
+        if 4 * sum(v in seen for v in low) < len(low):
             kept.append(i)
         seen.update(low)
     return kept
@@ -118,33 +131,33 @@ class ToxicField:
         self.constant: float | None = None
 
     def emissions(self, words: list[str]) -> np.ndarray:
-        flat, n = hashed(words)
-        return np.add.reduceat(self.theta[flat], np.concatenate([[0], np.cumsum(n)[:-1]])) + self.bias if len(words) else np.zeros(0)
+        flat, _, n = hashed(words)
+        return np.add.reduceat(self.theta[_slots(flat)], np.cumsum(n) - n) + self.bias if len(words) else np.zeros(0)
 
     def fit(self, sample: list[tuple[str, int]], share: float | None) -> ToxicField:
         toxic = np.array([y for _, y in sample])
         if len(set(toxic.tolist())) < 2:
             self.constant = float(share) if share is not None else 0.0
             return self
-        docs = [t.lower().split() for t, _ in sample]
+        ids: dict[str, int] = {}
+        docs = [np.fromiter((ids.setdefault(w, len(ids)) for w in t.lower().split()), np.int32) for t, _ in sample]
         kept = without_copies(docs)
         if len(set(toxic[kept].tolist())) == 2:
             docs, toxic = [docs[i] for i in kept], toxic[kept]
-        marks = token_labels(docs, toxic)
-        ids: dict[str, int] = {}
-        short = [i for i, d in enumerate(docs) if 0 < len(d) <= CHAIN_WORDS]
-        few = min(len(short), 2 * int(toxic.sum()))  # the chain learns from about as many clean documents as toxic ones
-        clean = [i for i in short if not toxic[i]][:few]
-        chain = [docs[i] for i in short if toxic[i]] + [docs[i] for i in clean]
-        kind = [1] * (len(chain) - len(clean)) + [0] * len(clean)
-        at = np.array([ids.setdefault(w, len(ids)) for d in chain for w in d])
         words = list(ids)
-        lengths = np.array([len(d) for d in chain])
-        marked = np.array([any(f in marks for f in features(w)) for w in words])
-        y = marked[at] & np.repeat(np.array(kind, bool), lengths)
-        flat, n = hashed(words)
+        del ids
+        flat, stem, n = hashed(words)
+        marks = token_labels(docs, toxic, flat, stem, n)
+        offsets = np.cumsum(n) - n
+        marked = np.maximum.reduceat(np.isin(flat, marks) & stem, offsets) if len(words) else np.zeros(0, bool)
+        flat = _slots(flat)
         owner = np.repeat(np.arange(len(words)), n)
-        offsets = np.concatenate([[0], np.cumsum(n)[:-1]])
+        # The chain learns from about as many clean documents as toxic ones.
+        chain = [[d for d, y in zip(docs, toxic.tolist(), strict=True) if y == k and 0 < len(d) <= CHAIN_WORDS][:CHAIN_DOCS] for k in (1, 0)]
+        chain[1] = chain[1][: 2 * len(chain[0]) + 1]
+        lengths = np.array([len(d) for x in chain for d in x], np.int64)
+        at = np.concatenate([np.zeros(0, np.int32), *chain[0], *chain[1]]).astype(np.int64)
+        y = marked[at] & (np.arange(len(at)) < sum(map(len, chain[0])))
         last = np.zeros(len(at), bool)
         last[np.cumsum(lengths) - 1] = True
         pair = np.flatnonzero(~last)
@@ -169,16 +182,17 @@ class ToxicField:
             self.theta[BUCKETS] = 0
             self.a += 0.3 * ga / np.sqrt(sa)
             self.bias += 0.3 * gb / np.sqrt(sb)
-        self._fit_documents(docs, toxic, share)
+        self._fit_documents(docs, toxic, words, share)
         return self
 
-    def _fit_documents(self, docs: list[list[str]], toxic: np.ndarray, share: float) -> None:
-        lengths = np.array([len(d) for d in docs])
-        words = [w for d in docs for w in d]
-        ids: dict[str, int] = {}
-        at = np.array([ids.setdefault(w, len(ids)) for w in words], np.int64)
-        logit = marginal_logits(self.emissions(list(ids))[at], lengths, self.a)[2] if words else np.zeros(0)
-        x = np.column_stack([np.ones(len(docs)), self.aggregate(logit, lengths)])
+    def _fit_documents(self, docs: list[np.ndarray], toxic: np.ndarray, words: list[str], share: float) -> None:
+        u = self.emissions(words)
+        x = np.full((len(docs), 2), -8.0)
+        for a in range(0, len(docs), 500):
+            lengths = np.array([len(d) for d in docs[a : a + 500]], np.int64)
+            at = np.concatenate([np.zeros(0, np.int32), *docs[a : a + 500]])
+            x[a : a + 500] = self.aggregate(marginal_logits(u[at], lengths, self.a)[2], lengths)
+        x = np.column_stack([np.ones(len(docs)), x])
         weight = np.where(toxic == 1, 0.5 / toxic.mean(), 0.5 / (1 - toxic.mean()))
         w = np.zeros(3)
         for _ in range(60):  # damped Newton steps
