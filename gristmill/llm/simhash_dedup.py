@@ -34,6 +34,7 @@ BITS = 4
 SHINGLE = 4
 SAMPLE = 3000  #: fingerprints whose distances the estimates use
 ROW_COST, PAIR_COST = 3e-6, 2e-8  #: seconds for a probed row and for a candidate pair
+HOT_SHARE = 10_000  #: a fingerprint with over 1 / HOT_SHARE of all rows has its class broadcast; there are fewer than HOT_SHARE of them
 BUCKET = 20_000  #: members of a bucket that one task compares; a larger one is dealt over more
 
 
@@ -272,13 +273,29 @@ def components(edges: DataFrame) -> DataFrame:
 def classes(docs: DataFrame, bits: int = BITS) -> DataFrame:
     """doc_id, fp (signed) and component_id of every row."""
     rows = stored(fingerprints(docs))
-    fps = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    fps = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")))
     roots = components(links(fps, bits))
     linked = fps.join(roots, fps.fp == roots.node).select("fp", "root", "least")
     least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     linked = linked.join(least, "root").select(F.col("fp").alias("fp_"), "component_id")
-    by_fp = fps.join(linked, fps.fp == linked.fp_, "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    return rows.join(by_fp, "fp", "left").select("doc_id", "fp", "component_id")
+    by_fp = fps.join(linked, fps.fp == linked.fp_, "left").select("fp", "copies", F.coalesce("component_id", "least").alias("component_id"))
+    return with_classes(rows, by_fp)
+
+
+def with_classes(rows: DataFrame, by_fp: DataFrame, share: int = HOT_SHARE) -> DataFrame:
+    """doc_id, fp and component_id of every row, where ``by_fp`` gives copies and component_id of each fingerprint.
+
+    Fingerprints of over 1 / ``share`` of all rows number fewer than ``share``, so they are broadcast;
+    only rows of the other fingerprints are brought together by a shuffle.
+    """
+    by_fp = cut(by_fp)
+    total = by_fp.agg(F.sum("copies")).first()[0] or 0
+    is_hot = F.col("copies") * share > F.lit(total)
+    hot = F.broadcast(by_fp.filter(is_hot).select("fp", "component_id"))
+    rare = by_fp.filter(~is_hot).select("fp", "component_id")
+    common = rows.join(hot, "fp").select("doc_id", "fp", "component_id")
+    others = rows.join(hot, "fp", "left_anti").join(rare, "fp").select("doc_id", "fp", "component_id")
+    return common.unionByName(others)
 
 
 def digest(docs: DataFrame) -> DataFrame:
