@@ -17,6 +17,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
@@ -85,12 +86,18 @@ class TokenIds:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+@lru_cache(maxsize=1)
+def token_ids(path: str) -> TokenIds:
+    """The tokenizer of this process: a worker's later tasks find its words remembered (its bounds hold throughout)."""
+    return TokenIds(path)
+
+
 def pieces(docs: DataFrame, path: str) -> DataFrame:
     """The pieces of every row, each with a `slot` that spreads rows evenly whatever their ids."""
     out = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("slot", pa.int64())])
 
     def run(batches):
-        tokens = TokenIds(path)
+        tokens = token_ids(path)
         salt, count = TaskContext.get().partitionId(), 0
         for cols, texts in text_chunks(batches, 2_000_000):
             rows: list[list] = [[] for _ in out]
