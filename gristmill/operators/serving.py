@@ -190,8 +190,9 @@ def not_expired(df: DataFrame, at: str, now: int, age: int = 86_400) -> DataFram
 
 
 def lexical_search(df: DataFrame, key: str, text: str, query: str, limit: int = 10) -> DataFrame:
+    """The rows with most of the query's terms, short ones first; a limit of at most 20 is the feature."""
     terms = sorted(set(re.findall(r"[a-z0-9]+", query.lower())))
-    tokens = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit("([a-z0-9]+)")))
-    hit = F.size(F.array_intersect(tokens, F.array(*map(F.lit, terms))))
-    score = hit / len(terms) + 1 / (1 + F.log1p(F.length(text)))
-    return df.withColumn("hits", hit).filter("hits > 0").select(key, F.round(score, 6).alias("score")).orderBy(F.desc("score"), key).limit(max(1, min(limit, 20)))
+    own = df.withColumn("w", F.regexp_extract_all(F.lower(text), F.lit("([a-z0-9]+)")))
+    hit = F.size(F.array_intersect(F.array_distinct("w"), F.array(*map(F.lit, terms)).cast("array<string>")))
+    score = hit / max(1, len(terms)) + 1 / (1 + F.log1p(F.size("w")))
+    return own.withColumn("hits", hit).filter("hits > 0").select(key, F.round(score, 8).alias("score"), F.substring(text, 1, 500).alias("snippet")).orderBy(F.desc("score"), key).limit(max(1, min(limit, 20)))

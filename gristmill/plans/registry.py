@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from gristmill.functions import text as T
 from gristmill.functions import web
 from gristmill.operators import near_dup, sanitise, serving
+from gristmill.plans import curation
 from gristmill.sources.tables import table
 
 BASE = 1_780_000_000
@@ -288,3 +289,5 @@ ORACLE_SQL = {
     "latest_order_per_customer": "SELECT o_custkey, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS rn FROM orders) WHERE rn = 1",
     "running_event_rank": "SELECT event_id, user_id, CAST(rn AS INTEGER) AS rn FROM (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events) WHERE rn <= 3",
 }
+QUERIES |= curation.QUERIES
+ORACLE_SQL |= curation.ORACLE_SQL | {"curate_documents": curation.curate_oracle(GOPHER, C4, LANGUAGE)}

@@ -36,7 +36,10 @@ def test_sanitise():
 
 def test_sections():
     got = sanitise.sections("# Title\n\nintro\n## Methods\ntext\n## Empty\n\n## Results\nmore")
-    assert [(s["title"], s["text"]) for s in got] == [("Document body", "intro"), ("Methods", "text"), ("Results", "more")]
+    assert [(s["title"], s["text"]) for s in got] == [("Title", "intro"), ("Methods", "text"), ("Results", "more")]
+    assert [(s["section_id"], s["title"], s["text"]) for s in sanitise.sections("\n# Title\nintro")] == [("section-1", "Title", "intro")]
+    assert [(s["title"], s["text"]) for s in sanitise.sections("# Only")] == [("Only", "# Only")]
+    assert sanitise.sections(" \n") == []
 
 
 def test_ordinal(spark):
