@@ -237,6 +237,16 @@ def test_decontamination(spark, docs, docs_pdf, no_docs):
     assert decontaminate.leaks(no_docs, bench).count() == 0 and decontaminate.leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_common_benchmark_passage_is_found(spark):
+    """A passage that most documents hold has frequent words only; it is found all the same, and clean documents stay."""
+    leak = "seven brass lanterns hung above the quiet canal while the miller counted his sacks of rye twice over"
+    rows = [(i, f"{leak} tail{i}") for i in range(60)] + [(100 + i, f"plain words number {i} about nothing in particular today") for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    bench = spark.createDataFrame([(1, leak)], "item_id bigint, text string")
+    assert sorted(r.doc_id for r in decontaminate.leaks(docs, bench).collect()) == list(range(60))
+    assert sorted(r.doc_id for r in decontaminate.clean(docs, bench).collect()) == list(range(100, 110))
+
+
 def test_subsequence_length():
     rng = np.random.default_rng(5)
     idf = np.ones(decontaminate.TERMS, np.float32)
