@@ -195,3 +195,18 @@ def ordered(given: Column, pairs: list[tuple[str, str]]) -> tuple[Column, Column
     at = lambda x: F.array_position(given, x)
     held = sum(((at(a).cast("int") > 0) & (at(b) > 0) & (at(a) < at(b))).cast("int") for a, b in pairs) if pairs else F.lit(0)
     return (held == len(pairs)) & F.lit(bool(pairs)), held / max(len(pairs), 1)
+
+
+def without_expired(records: DataFrame, expired: DataFrame, uri: str = "uri") -> DataFrame:
+    """Records whose pointer is not known to be dead; a null pointer is kept."""
+    return records.join(expired.select(uri).distinct(), uri, "left_anti")
+
+
+def record_expired(expired: DataFrame, batch: DataFrame, uri: str = "uri") -> DataFrame:
+    """The new dead pointers of a batch, each once, for appending."""
+    return batch.select(uri).distinct().join(expired.select(uri), uri, "left_anti")
+
+
+def first_seen(pages: DataFrame, archive: DataFrame, url: str = "url") -> DataFrame:
+    """Pages with the time at which an archive table first saw their address (null if never), in place of live look-ups."""
+    return pages.join(archive.groupBy(url).agg(F.min("seen_at").alias("first_seen_at")), url, "left")

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gristmill.functions import cards, routing, scoring, validity
+from gristmill.functions import cards, markup, routing, scoring, validity
 from gristmill.functions import text as T
 from gristmill.operators import evidence, serving
 from gristmill.sources.tables import table
@@ -341,7 +341,36 @@ def quality_cache(spark, d):
 
 CACHE = "WITH o AS (SELECT doc_id, sha256('r1' || chr(0) || text) AS key FROM documents), c AS (SELECT key, min(doc_id) % 6 AS score, max(doc_id) AS made FROM o WHERE doc_id % 2 = 0 GROUP BY key ORDER BY made DESC, key LIMIT 100000) SELECT o.doc_id, o.key, c.score FROM o LEFT JOIN c ON o.key = c.key"
 
+def expired_pointers(spark, d):
+    own = table(spark, d, "pages").select("page_id", F.col("url").alias("uri"))
+    return evidence.without_expired(own, own.filter("page_id % 4 = 0")).select("page_id")
+
+
+def first_seen(spark, d):
+    own = table(spark, d, "pages").select("page_id", "url")
+    archive = own.filter("page_id % 3 > 0").select("url", (F.col("page_id") * 7 % 1000).alias("seen_at"))
+    return evidence.first_seen(own, archive).select("page_id", "first_seen_at")
+
+
+def paper_texts(spark, d):
+    """Conversations as papers: turns as sections and rows of a table, projected with their surrogate."""
+    own = _turns(spark, d).groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("t"))
+    sections = F.transform("t", lambda x: F.struct((x["turn"].cast("int") + 1).alias("level"), x["role"].alias("title"), x["text"].alias("text"), (x["turn"] % 3 != 2).alias("included")))
+    tables = F.array(F.struct(F.lit("t1").alias("table_id"), F.lit("Turns").alias("caption"), F.transform("t", lambda x: F.array(x["role"], x["text"])).alias("rows")))
+    figures = F.array().cast("array<struct<figure_id:string,figure_type:string,caption:string,alt_text:string,ocr_text:string,ocr_ok:boolean>>")
+    extra = markup.surrogate(tables, F.array(F.lit("x^2")), figures)
+    own = own.select("conv_id", sections.alias("s"), extra.alias("x"))
+    return own.select("conv_id", F.md5(markup.paper_projection(F.lit("P"), F.col("s"), F.col("x"))).alias("text_md5"))
+
+
+PAPERS = """WITH n AS (SELECT *, chr(10) AS nl, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS i FROM conversations)
+SELECT conv_id, md5('# P' || coalesce(string_agg(nl || nl || repeat('#', least(6, greatest(2, turn + 1))) || ' ' || role || nl || rtrim(text, ' ' || nl), '' ORDER BY i) FILTER (WHERE turn % 3 <> 2 AND trim(text, ' ' || nl) <> ''), '')
+  || chr(10) || chr(10) || '[TABLE]' || chr(10) || 'ID: t1' || chr(10) || 'Caption: Turns' || chr(10) || string_agg(role || ' | ' || substring(text, 1, 400), chr(10) ORDER BY i) FILTER (WHERE i <= 40) || chr(10) || '[/TABLE]' || chr(10) || chr(10) || '[EQUATION] x^2 [/EQUATION]') AS text_md5 FROM n GROUP BY conv_id"""
+
 QUERIES = {
+    "expired_pointers": expired_pointers,
+    "first_seen": first_seen,
+    "paper_texts": paper_texts,
     "card_gate": card_gate,
     "section_types": section_types,
     "section_roles": section_roles,
@@ -371,6 +400,9 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "expired_pointers": "SELECT page_id FROM pages WHERE url NOT IN (SELECT url FROM pages WHERE page_id % 4 = 0)",
+    "first_seen": "SELECT p.page_id, a.seen AS first_seen_at FROM pages p LEFT JOIN (SELECT url, min(page_id * 7 % 1000) AS seen FROM pages WHERE page_id % 3 > 0 GROUP BY 1) a ON p.url = a.url",
+    "paper_texts": PAPERS,
     "card_gate": CARD,
     "section_types": SECTION_TYPES,
     "section_roles": f"WITH {ROLED} SELECT conv_id, turn, section_role, section_role IN ('references', 'acknowledgements') OR title = 'Ethics statement' AS excluded FROM r",

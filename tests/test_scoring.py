@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from gristmill.functions import cards, scoring
+from gristmill.functions import cards, markup, scoring
 from gristmill.operators import evidence
 
 
@@ -74,3 +74,24 @@ def test_predicates(spark):
     soft, hard = (F.lit(False), F.lit(0.5), 1.0, False), (F.lit(False), F.lit(1.0), 1.0, True)
     assert evidence.verified(one, {"s": soft, "t": (F.lit(True), F.lit(1.0), 1.0, True)}).first()[1:] == (0.75, False)
     assert evidence.verified(one, {"h": hard}).first()[1:] == (0.0, False)
+
+
+def test_markup(spark):
+    tex = "\\documentclass[a]{article}% note\n\\title{T}\\begin{abstract}A 5\\% rise\\end{abstract}\\section*{One}x\\subsection{Two}$$ a $$ \\[b\\] $$a$$\\begin{equation}c\nd\\end{equation}\\bibliography{r}\n"
+    r = spark.createDataFrame([(tex, "ABSTRACT: short\n2. Methods\nIV. Results:\nmethods we use")], "x string, p string").select(markup.latex_headings(F.col("x")).alias("h"), markup.equations(F.col("x")).alias("e"), markup.page_headings(F.col("p")).alias("p")).first()
+    assert "## Abstract\nA 5\\% rise" in r.h and "\n## One\nx\n### Two\n" in r.h and "## References" in r.h and "note" not in r.h and "article" not in r.h
+    assert r.e == ["a", "b", "c\nd"]
+    assert r.p == "\n## Abstract\n\nshort\n\n## 2. Methods\n\n\n## IV. Results:\n\nmethods we use"
+    figures = [("f", "chart", "C", None, "secret", False), ("g", "plot", None, "A", "seen", True)]
+    df = spark.createDataFrame([([("t", None, [["a" * 500, "b"]])], ["q", ""], figures)], "t array<struct<table_id:string,caption:string,rows:array<array<string>>>>, e array<string>, f array<struct<figure_id:string,figure_type:string,caption:string,alt_text:string,ocr_text:string,ocr_ok:boolean>>")
+    got = df.select(markup.surrogate(F.col("t"), F.col("e"), F.col("f"))).first()[0]
+    assert got == f"[TABLE]\nID: t\n{'a' * 400} | b\n[/TABLE]\n\n[EQUATION] q [/EQUATION]\n\n[FIGURE] ID: f Type: chart Caption: C [/FIGURE].\n\n[FIGURE] ID: g Type: plot Alt text: A Visible text: seen [/FIGURE]."
+
+
+def test_migration_and_pointers(spark):
+    old = spark.createDataFrame([(None, 2.0, 3.0, 7), (1.0, 2.0, 3.0, 8), (None, None, 3.0, 9)], "edu_score double, finepdfs_edu_score double, quality_score double, row_id long")
+    got = markup.migrated(old)
+    assert sorted(got.columns) == ["_row_id", "quality_score", "source_quality_score"] and [r.source_quality_score for r in got.orderBy("_row_id").collect()] == [2.0, 1.0, 3.0]
+    dead = spark.createDataFrame([("a",)], "uri string")
+    batch = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "uri string")
+    assert evidence.without_expired(batch, dead).count() == 3 and evidence.record_expired(dead, batch.filter("uri is not null")).count() == 1
