@@ -43,6 +43,13 @@ _PARTS = re.compile("[a-z\\xaa\\xb5\\xba\\xdf-\\xf6\\xf8-\\u024f]+|'(?:s|t|re|ve
 _ODD = re.compile("[\x1c-\x1f\x85\xa0\xb2\xb3\xb9\xbc-\xbe]|[^\x00-\u024f]")
 
 
+def is_odd(text: str) -> bool:
+    """Whether a text holds an odd character; ASCII has four of them, which plain searches find fastest."""
+    if text.isascii():
+        return "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text
+    return _ODD.search(text) is not None
+
+
 class TokenIds:
     """Ids of texts, as little-endian unsigned 32-bit integers; those of words are remembered within bounds.
 
@@ -64,12 +71,13 @@ class TokenIds:
         self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if _ODD.search(t) or "<|" in t else _PARTS.findall(t.lower()) for t in texts]
+        split = [None if is_odd(t) or "<|" in t else _PARTS.findall(t.lower()) for t in texts]
         used = set().union(*(x for x in split if x))
         if len(self.known) > self.words or self.size > self.chars:
             self.known = {w: self.known[w] for w in used & self.known.keys()}
             self.size = sum(map(len, self.known))
-        new = list(used - self.known.keys())
+        # Not `used - known.keys()`, which would pass over all known words for each chunk.
+        new = list(used.difference(self.known))
         for i in range(0, len(new), 2_000):
             part = new[i : i + 2_000]
             ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
