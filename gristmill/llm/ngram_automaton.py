@@ -1,16 +1,20 @@
 """Language-model scores by a weighted backoff automaton.
 
 Training tokens are the words `[^\\x20\\x09-\\x0D]+` of the documents to learn from, with A-Z lower-cased,
-and one end after each document. Unigrams are counted exactly, whatever the vocabulary's size, and
-smoothed with 0.5 a word. Bigrams and trigrams become arcs if their share of the training tokens reaches
-a threshold; as shares add up to one, a threshold t admits at most 1 / t of them, at any size of the
-corpus. So the automaton is small by proof and goes to every task, while the unigram table, which grows
-with the corpus, is joined: each block of documents gets the counts of its own vocabulary.
+and one end after each document. Unigrams are counted whatever the vocabulary's size, and smoothed with
+0.5 a word. Every bigram and trigram of the training tokens is an arc, none is pruned. The model grows with
+the corpus, so it is never in one place: documents are packed into blocks, each block lists its own distinct
+n-grams as sorted 64-bit keys, and key ranges of all blocks meet to be summed and go back to the blocks that
+asked. Each block so gets the part of the model that its own documents can reach. (Two n-grams share a key
+with a chance of 2^-64 a pair.)
 
 States are contexts (none, one word, two words). An arc carries the discounted log-probability of its
 n-gram; where a state lacks the arc, its failure arc leads to the next shorter context and adds the
-backoff weight that makes the probabilities of each state sum to one. One left-to-right traversal of a
-document carries the state and adds up log10-probabilities.
+backoff weight that makes the probabilities of each state sum to one. The weight needs the number of
+words that follow a context and the sum of their counts; these are summed over the blocks in the same way,
+each n-gram being put in by the first block that learned it. As every n-gram is an arc, the state before
+a token is the longest learned one of its last two words, so the arcs and failure arcs of all tokens of a
+block are followed side by side, and a document's log10-probabilities are added up.
 
 Null text counts as empty: the end alone. A null doc_id is scored, not learned from and not held out.
 Repeated rows count as often as they stand there. An empty table gives an empty result. With nothing to
@@ -20,40 +24,37 @@ learn from, the vocabulary has the unknown word alone and every token gets proba
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
+import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.llm.common import remainder, stored, text_chunks
 
-BLOCK_TOKENS = 2_000_000  #: a block of documents closes at so many tokens
-PAIR_WORD, PAIR = 1e-4, 2e-5  #: least shares: of a word in a bigram, of a bigram
-TRIPLE_WORD, TRIPLE = 1e-3, 2e-5  #: the same for trigrams
+BLOCK_TOKENS = 700_000  #: a block of documents closes at so many tokens
+PART_KEYS = 2_000_000  #: most keys, about, that meet in a key range
 DISCOUNT = 0.5
 END = b""  #: the end, which no word equals
 
-_BLOCKS = "block bigint, doc_ids array<bigint>, learn array<boolean>, held_out array<boolean>, lengths array<bigint>, codes binary, words binary, counts binary"
+_BLOCKS = "block bigint, doc_ids array<bigint>, learn array<boolean>, held_out array<boolean>, lengths array<bigint>, codes binary, words binary"
 
 
 def blocks(docs: DataFrame) -> DataFrame:
-    """Documents as blocks: token codes in the block's own vocabulary, the words, and their training counts."""
+    """Documents as blocks: token codes in the block's own vocabulary and its words, as they first occur."""
     out = pa.schema(
-        [("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("learn", pa.list_(pa.bool_())), ("held_out", pa.list_(pa.bool_())), ("lengths", pa.list_(pa.int64())), ("codes", pa.binary()), ("words", pa.binary()), ("counts", pa.binary())]
+        [("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("learn", pa.list_(pa.bool_())), ("held_out", pa.list_(pa.bool_())), ("lengths", pa.list_(pa.int64())), ("codes", pa.binary()), ("words", pa.binary())]
     )
 
     def run(batches):
         task, number = TaskContext.get().partitionId(), 0
 
         def closed(rows, vocabulary, parts):
-            lengths = np.array([r[3] for r in rows], np.int64)
             codes = np.concatenate(parts)
-            learn = np.repeat(np.array([r[1] for r in rows], bool), lengths)
-            counts = np.bincount(codes[learn], minlength=len(vocabulary)).astype(np.int64)
-            fields = [task * (1 << 32) + number, *([r[i] for r in rows] for i in range(4)), zlib.compress(codes.tobytes(), 1), zlib.compress(b" ".join(vocabulary), 1), zlib.compress(counts.tobytes(), 1)]
+            fields = [task * (1 << 32) + number, *([r[i] for r in rows] for i in range(4)), zlib.compress(codes.tobytes(), 1), zlib.compress(b" ".join(vocabulary), 1)]
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(fields, out, strict=True)], schema=out)
 
         vocabulary: dict[bytes, int] = {END: 0}
@@ -79,59 +80,135 @@ def _list(data: bytes) -> list[bytes]:
     return zlib.decompress(data).split(b" ")
 
 
-def word_rows(own: DataFrame) -> DataFrame:
-    """One row for each word of each block: word, block, its place there and its training count."""
-
-    def run(batches):
-        for batch in batches:
-            for block, words, counts in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                words = _list(words)
-                c = np.frombuffer(zlib.decompress(counts), np.int64)
-                for a in range(0, len(words), 100_000):
-                    part = words[a : a + 100_000]
-                    n = len(part)
-                    yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), pa.array(np.full(n, block)), pa.array(np.arange(a, a + n, dtype=np.int32)), pa.array(c[a : a + n])], names=["word", "block", "place", "c"])
-
-    return own.select("block", "words", "counts").mapInArrow(run, "word binary, block bigint, place int, c bigint")
-
-
-def frequent_grams(own: DataFrame, numbers: dict[bytes, int], triple_words: int, total: int) -> tuple[dict, dict]:
-    """Counts of the bigrams and trigrams of frequent words that reach their shares; each at most one in a share."""
-    base = len(numbers) + 1
-
-    def run(batches):
-        sums: list[Counter] = [Counter(), Counter()]
-
-        def flush():
-            for order, s in enumerate(sums, 2):
-                if s:
-                    keys = np.fromiter(s.keys(), np.int64, len(s))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), order, np.int32)), pa.array(keys), pa.array(np.fromiter(s.values(), np.int64, len(s)))], names=["n", "gram", "c"])
-                s.clear()
-
-        for batch in batches:
-            for learn, lengths, codes, words in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                to = np.array([numbers.get(w, 0) for w in _list(words)], np.int64)
-                lengths = np.array(lengths, np.int64)
-                w = to[np.frombuffer(zlib.decompress(codes), np.int32)]
-                w[np.repeat(~np.array(learn, bool), lengths)] = 0
-                last = np.zeros(len(w), bool)
-                last[np.cumsum(lengths) - 1] = True
-                ok = (w[:-1] > 0) & (w[1:] > 0) & ~last[:-1]
-                two = (w[:-1] * base + w[1:])[ok]
-                short = np.where(w <= triple_words, w, 0)
-                ok3 = (short[:-2] > 0) & (short[1:-1] > 0) & (short[2:] > 0) & ~last[:-2] & ~last[1:-1]
-                three = ((short[:-2] * base + short[1:-1]) * base + short[2:])[ok3]
-                for s, grams in zip(sums, (two, three), strict=True):
-                    keys, c = np.unique(grams, return_counts=True)
-                    s.update(dict(zip(keys.tolist(), c.tolist(), strict=True)))
-                if len(sums[0]) + len(sums[1]) > 1_500_000:
-                    yield from flush()
-        yield from flush()
-
-    rows = own.select("learn", "lengths", "codes", "words").mapInArrow(run, "n int, gram bigint, c bigint").groupBy("n", "gram").agg(F.sum("c").alias("c"))
-    rows = rows.filter(F.col("c") >= F.when(F.col("n") == 2, PAIR * total).otherwise(TRIPLE * total)).collect()
-    return {r.gram: r.c for r in rows if r.n == 2}, {r.gram: r.c for r in rows if r.n == 3}
+def _planes(a: np.ndarray) -> bytes:
+    """Eight-byte numbers as their first bytes, second bytes and so on, which Spark's compression shortens."""
+    return np.ascontiguousarray(a.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _small(a: np.ndarray) -> bytes:
+    return zlib.compress(_planes(a), 1)
+
+
+def _numbers(data: bytes, kind=np.int64) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(kind).ravel()
+
+
+def _joined(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Keys of n-grams from those of the context and of the word."""
+    z = (x * np.uint64(0x9E3779B97F4A7C15)) ^ (y + np.uint64(0xD1B54A32D192ED03))
+    z = (z ^ (z >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return z ^ (z >> np.uint64(32))
+
+
+class Grams:
+    """A block's distinct words, bigrams and trigrams, sorted by key, and which of them each token completes."""
+
+    def __init__(self, row: dict):
+        self.lengths = np.array(row["lengths"], np.int64)
+        self.codes = codes = np.frombuffer(zlib.decompress(row["codes"]), np.int32)
+        words = _list(row["words"])
+        own = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.within = np.arange(len(codes)) - np.repeat(self.starts, self.lengths)
+        two, three = np.flatnonzero(self.within >= 1), np.flatnonzero(self.within >= 2)
+        pairs = np.zeros(len(codes), np.uint64)
+        pairs[two] = _joined(own[codes[two - 1]], own[codes[two]])
+        self.keys, at = np.unique(np.concatenate([own, pairs[two], _joined(pairs[three - 1], own[codes[three]])]), return_inverse=True)
+        of_word, of_two, of_three = np.split(at, [len(own), len(own) + len(two)])
+        self.one = of_word[codes]
+        self.two, self.three = np.full(len(codes), -1), np.full(len(codes), -1)
+        self.two[two], self.three[three] = of_two, of_three
+        self.order = np.ones(len(self.keys), np.int64)
+        self.order[of_two], self.order[of_three] = 2, 3
+        self.token = np.zeros(len(self.keys), np.int64)  #: one token that completes the n-gram
+        self.token[of_two], self.token[of_three] = two, three
+
+    def learned(self, learn: list[bool]) -> np.ndarray:
+        """Training counts of the n-grams within the block."""
+        on = np.repeat(np.array(learn, bool), self.lengths)
+        return sum(np.bincount(at[on & (at >= 0)], minlength=len(self.keys)) for at in (self.one, self.two, self.three))
+
+    def followers(self, totals: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each n-gram as a context: the words known to follow it by n-grams in ``first``, and the sum of the counts that they have in the next shorter context."""
+        n, s = np.zeros(len(self.keys), np.int64), np.zeros(len(self.keys), np.int64)
+        for order, context, shorter in ((2, self.one, self.one), (3, self.two, self.two)):
+            i = self.token[first & (self.order == order)]
+            n += np.bincount(context[i - 1], minlength=len(n))
+            s += np.bincount(context[i - 1], weights=totals[shorter[i]], minlength=len(n)).astype(np.int64)
+        return n, s
+
+    def failing(self, totals: np.ndarray) -> np.ndarray:
+        """Which n-grams are contexts whose failure arc some token of the block takes."""
+        out = np.zeros(len(self.keys), bool)
+        for at, context, on in ((self.two, self.one, self.within >= 1), (self.three, self.two, self.within >= 2)):
+            i = np.flatnonzero(on)
+            out[context[i[totals[at[i]] == 0] - 1]] = True
+        return out & (totals > 0)
+
+    def scores(self, totals: np.ndarray, n: np.ndarray, s: np.ndarray, denominator: float) -> tuple[np.ndarray, np.ndarray]:
+        """log10-probabilities of the tokens at the state without context, and at their own states."""
+        c = np.maximum(totals, 1)
+        # What a state's arcs leave over, and what the same words leave over in the next shorter context.
+        low = np.where(self.order == 1, (s + 0.5 * n) / denominator, (s - DISCOUNT * n) / c[self.one[self.token]])
+        fail = np.where(n > 0, np.log10(np.maximum(DISCOUNT * n / c, 1e-9) / np.maximum(1 - low, 1e-9)), 0.0)
+        base = np.log10((totals[self.one] + 0.5) / denominator)
+        p = base.copy()
+        for at, context, on in ((self.two, self.one, self.within >= 1), (self.three, self.two, self.within >= 2)):
+            i = np.flatnonzero(on)
+            i = i[totals[context[i - 1]] > 0]
+            arc, state = totals[at[i]], context[i - 1]
+            p[i] = np.where(arc > 0, np.log10(np.maximum(arc - DISCOUNT, DISCOUNT) / c[state]), fail[state] + p[i])
+        return base, p
+
+
+def _rows(block: int, keys: np.ndarray, columns: list[np.ndarray], ranges: int) -> pa.RecordBatch:
+    """Sorted keys and their figures, a row for each range of keys."""
+    edges = [0, *np.searchsorted(keys, np.arange(1, ranges, dtype=np.uint64) * np.uint64((1 << 64) // ranges)).tolist(), len(keys)]
+    parts = [(k, a, b) for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b > a]
+    fields = [[_planes(np.diff(keys[a:b], prepend=np.uint64(0))) for _, a, b in parts], *([_small(c[a:b]) for _, a, b in parts] for c in columns)]
+    return pa.RecordBatch.from_arrays([pa.array([k for k, _, _ in parts], pa.int32()), pa.array([block] * len(parts), pa.int64()), *(pa.array(f, pa.binary()) for f in fields)], names=["part", "block", "keys", "x", "y"][: 3 + len(columns)])
+
+
+def _met(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each key of a range's rows stands among its distinct keys, the blocks that hold it, and where rows end."""
+    keys = [np.cumsum(_numbers(k, np.uint64), dtype=np.uint64) for k in table.column("keys").to_pylist()]
+    _, at, blocks_ = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+    return at, blocks_, np.cumsum([len(k) for k in keys])[:-1]
+
+
+def _back(table: pa.Table, new: int, *columns: list[np.ndarray]) -> pa.Table:
+    x, y = (pa.array([_small(np.ascontiguousarray(v)) for v in c], pa.binary()) for c in columns)
+    return pa.table({"block": table.column("block"), "part": table.column("part"), "x": x, "y": y, "new": pa.array([new, *[0] * (len(table) - 1)], pa.int64())})
+
+
+_RANGES = "block bigint, part int, x binary, y binary, new bigint"
+
+
+def _added_counts(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """Training counts over all blocks (x); whether several blocks have the key (2), and whether a block is the first that learned it (1) (y)."""
+    at, blocks_, ends = _met(table)
+    own = np.concatenate([_numbers(zlib.decompress(x)) for x in table.column("x").to_pylist()])
+    c, is_word = own >> 1, (own & 1) > 0
+    totals = np.bincount(at, weights=c).astype(np.int64)
+    learned = np.flatnonzero(c > 0)
+    first = np.zeros(len(at), np.int64)
+    first[learned[np.unique(at[learned], return_index=True)[1]]] = 1
+    return _back(table, int(first[is_word].sum()), np.split(totals[at], ends), np.split((blocks_[at] > 1) * 2 + first, ends))
+
+
+def _added_followers(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """Followers and the sums of their counts over all blocks, for the keys that a block asked for."""
+    at, _, ends = _met(table)
+    x, y = (np.concatenate([_numbers(zlib.decompress(v)) for v in table.column(k).to_pylist()]) for k in ("x", "y"))
+    asked = np.split(x & 1 > 0, ends)
+    sums = (np.split(np.bincount(at, weights=v).astype(np.int64)[at], ends) for v in (x >> 1, y))
+    return _back(table, 0, *([v[on] for v, on in zip(c, asked, strict=True)] for c in sums))
+
+
+def _figures(rows_: pa.Table, step: int) -> list[np.ndarray]:
+    """A block's two columns of a step, in the order of its keys."""
+    rows = sorted((r for r in rows_.select(["step", "part", "x", "y"]).to_pylist() if r["step"] == step), key=lambda r: r["part"])
+    return [np.concatenate([np.zeros(0, np.int64), *(_numbers(zlib.decompress(r[k])) for r in rows)]) for k in ("x", "y")]
 
 
 class BackoffAutomaton:
@@ -199,45 +276,63 @@ class BackoffAutomaton:
         return total
 
 
+def _stored_alone(df: DataFrame) -> DataFrame:
+    """The frame stored; the files of the shuffles that led to it are dropped."""
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name, "false")
+    conf.set(name, "true")
+    try:
+        return stored(df)
+    finally:
+        conf.set(name, before)
+
+
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     own = stored(blocks(docs))
-    learned = own.select(F.explode(F.arrays_zip("learn", "lengths")).alias("d")).filter("d.learn")
-    n = learned.agg(F.coalesce(F.sum("d.lengths"), F.lit(0))).first()[0]
-    by_word = Window.partitionBy("word")
-    rows = word_rows(own)
-    rows = rows.withColumn("total", F.sum("c").over(by_word)).withColumn("first", F.col("block") == F.min("block").over(by_word))
-    # A share of PAIR_WORD leaves at most 1 / PAIR_WORD words.
-    kept = F.col("first") & (F.col("total") >= max(1, PAIR_WORD * n))
-    counted = stored(rows.select("block", "place", "total", F.when(kept, F.col("word")).alias("word"), (F.col("first") & (F.col("total") > 0)).alias("new")))
-    v = counted.filter("new").count()
-    denominator = n + 0.5 * (v + 1)
-    common = counted.filter(F.col("word").isNotNull()).select("word", F.col("total").alias("once")).collect()
-    common = sorted(((r.once, bytes(r.word)) for r in common), key=lambda x: (-x[0], x[1]))
-    numbers = {w: i + 1 for i, (_, w) in enumerate(common)}
-    totals = np.array([1, *(c for c, _ in common)], np.float64)
-    pairs, triples = frequent_grams(own, numbers, sum(c >= TRIPLE_WORD * n for c, _ in common), n) if common else ({}, {})
-    automaton = BackoffAutomaton(len(common), np.log10((totals + 0.5) / denominator), pairs, triples, totals)
+    sums = own.select(F.explode(F.arrays_zip("learn", "lengths")).alias("d")).agg(F.sum(F.when(F.col("d.learn"), F.col("d.lengths"))), F.sum("d.lengths")).first()
+    n, tokens = sums[0] or 0, sums[1] or 0
+    ranges = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-3 * tokens // PART_KEYS))
+
+    def counts(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                grams = Grams(row)
+                yield _rows(row["block"], grams.keys, [grams.learned(row["learn"]) * 2 + (grams.order == 1)], ranges)
+
+    learned = own.select("block", "learn", "lengths", "codes", "words").mapInArrow(counts, "part int, block bigint, keys binary, x binary")
+    learned = _stored_alone(learned.groupBy("part").applyInArrow(_added_counts, _RANGES))
+    denominator = n + 0.5 * ((learned.agg(F.sum("new")).first()[0] or 0) + 1)
+    # Blocks (step 0) and their counts (step 1) in one frame, so that both steps below share one shuffle.
+    pool = own.withColumn("step", F.lit(0)).unionByName(learned.select("block", "part", "x", "y", F.lit(1).alias("step")), allowMissingColumns=True)
+
+    def block_row(rows: pa.Table) -> dict:
+        return rows.filter(pa.compute.equal(rows.column("step"), 0)).drop_columns(["part", "x", "y"]).to_pylist()[0]
+
+    def ask(key: tuple[pa.Scalar, ...], left: pa.Table) -> pa.Table:
+        grams = Grams(block_row(left))
+        totals, flags = _figures(left, 1)
+        followers, needed = grams.followers(totals, flags % 2 == 1), grams.failing(totals)
+        # The followers of what only one block has are all in that block.
+        at = np.flatnonzero((flags >= 2) & (needed | (followers[0] > 0)))
+        return pa.Table.from_batches([_rows(key[0].as_py(), grams.keys[at], [followers[0][at] * 2 + needed[at], followers[1][at]], ranges)])
+
+    asked = pool.groupBy("block").applyInArrow(ask, "part int, block bigint, keys binary, x binary, y binary")
+    followed = asked.groupBy("part").applyInArrow(_added_followers, _RANGES).select("block", "part", "x", "y", F.lit(2).alias("step"))
 
     def run(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
-        fields: list[list] = [[] for _ in range(6)]
-        if len(left):
-            row = {k: left.column(k)[0].as_py() for k in ("doc_ids", "held_out", "lengths", "codes", "words")}
-            c = np.zeros(len(right), np.int64)
-            c[right.column("place").to_numpy()] = right.column("total").to_numpy()
-            to = np.array([numbers.get(w, 0) for w in _list(row["words"])], np.int32)
-            log = np.log10((c + 0.5) / denominator)
-            codes = np.frombuffer(zlib.decompress(row["codes"]), np.int32)
-            at = 0
-            for doc, held, size in zip(row["doc_ids"], row["held_out"], row["lengths"], strict=True):
-                part = codes[at : at + size]
-                at += size
-                p = log[part]
-                for into, value in zip(fields, (doc, held, size, int((c[part] > 0).sum()), float(p.sum()), automaton.traverse(to[part].tolist(), p.tolist())), strict=True):
-                    into.append(value)
+        row = block_row(left)
+        grams = Grams(row)
+        totals, flags = _figures(left, 1)
+        followers = grams.followers(totals, flags % 2 == 1)
+        at = np.flatnonzero((flags >= 2) & grams.failing(totals))
+        for own_, every in zip(followers, _figures(right, 2), strict=True):
+            own_[at] = every
+        base, p = grams.scores(totals, *followers, denominator)
+        known, base, p = (np.add.reduceat(v, grams.starts) for v in ((totals[grams.one] > 0).astype(np.int64), base, p))
         kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
         names = ("doc_id", "held_out", "n_tokens", "n_known", "base_score", "score")
-        return pa.table({k: pa.array(f, t) for k, f, t in zip(names, fields, kinds, strict=True)})
+        return pa.table({k: pa.array(f, t) for k, f, t in zip(names, (row["doc_ids"], row["held_out"], row["lengths"], known, base, p), kinds, strict=True)})
 
-    scored = own.groupBy("block").cogroup(counted.select("block", "place", "total").groupBy("block")).applyInArrow(run, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double")
+    scored = pool.groupBy("block").cogroup(followed.groupBy("block")).applyInArrow(run, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double")
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("bigint").alias("train_tokens"), "base_score", "score")
