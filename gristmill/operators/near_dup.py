@@ -57,18 +57,20 @@ def band_rows(sigs: DataFrame) -> DataFrame:
     return sigs.select("doc_id", "sig", F.posexplode(keys).alias("band", "key"))
 
 
-def parts(bands: DataFrame, rounds: int = 30) -> DataFrame:
+def parts(bands: DataFrame) -> DataFrame:
     """doc_id and part: documents that share buckets, directly or through others, have one part (least id)."""
     own = bands.select("doc_id", "band", "key").withColumn("n", F.count("*").over(Window.partitionBy("band", "key"))).filter("n > 1").drop("n").checkpoint()
     label = own.select("doc_id").distinct().withColumn("part", F.col("doc_id"))
-    for _ in range(rounds):
+    while True:  # labels only fall, so they come to rest
+        # The least label of a document's buckets, and the label of the document it names: paths halve, so long chains take few rounds.
         bucket = own.join(label, "doc_id").groupBy("band", "key").agg(F.min("part").alias("low"))
         step = own.join(bucket, ["band", "key"]).groupBy("doc_id").agg(F.min("low").alias("part")).checkpoint()
+        onward = step.select(F.col("doc_id").alias("part"), F.col("part").alias("next"))
+        step = step.join(onward, "part").select("doc_id", F.least("part", "next").alias("part")).checkpoint()
         moved = step.alias("s").join(label.alias("l"), "doc_id").filter("s.part <> l.part").limit(1).count()
         label = step
         if not moved:
-            break
-    return label
+            return label
 
 
 def greedy(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -116,3 +116,12 @@ def test_partitioned_sink(spark, tmp_path):
     tables.write_decisions(df, str(tmp_path / "t"))
     assert spark.read.parquet(str(tmp_path / "t")).filter("lang = 'de'").count() == 1
     assert tables.evolved(df, {"lang": "language"}, {"extra": "string"}).columns == ["doc_id", "language", "risk_tier", "valid_from", "extra"]
+
+
+def test_parts_of_long_chains(spark):
+    n = 45
+    rows = [(i, b, i // 2 if b == 0 else (i + 1) // 2) for i in range(n) for b in (0, 1)]
+    order = [(i * 17) % n for i in range(n)]
+    for ids in (list(range(n)), order):
+        bands = spark.createDataFrame([(ids[i], b, k) for i, b, k in rows], "doc_id bigint, band int, key bigint")
+        assert {r.part for r in near_dup.parts(bands).collect()} == {0}
