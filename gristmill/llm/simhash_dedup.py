@@ -27,8 +27,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from gristmill.llm.common import cut, map_texts, stored
+from gristmill.llm.common import cut, map_texts, stored, text_chunks
 
 BITS = 4
 SHINGLE = 4
@@ -273,13 +274,18 @@ def components(edges: DataFrame) -> DataFrame:
 def classes(docs: DataFrame, bits: int = BITS) -> DataFrame:
     """doc_id, fp (signed) and component_id of every row."""
     rows = stored(fingerprints(docs))
+    return with_classes(rows, labels_of(rows, bits))
+
+
+def labels_of(rows: DataFrame, bits: int = BITS) -> DataFrame:
+    """fp, copies, root (its class's least fingerprint, as the links count) and component_id of every fingerprint."""
     fps = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")))
     roots = components(links(fps, bits))
     linked = fps.join(roots, fps.fp == roots.node).select("fp", "root", "least")
     least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    linked = linked.join(least, "root").select(F.col("fp").alias("fp_"), "component_id")
-    by_fp = fps.join(linked, fps.fp == linked.fp_, "left").select("fp", "copies", F.coalesce("component_id", "least").alias("component_id"))
-    return with_classes(rows, by_fp)
+    linked = linked.join(least, "root").select(F.col("fp").alias("fp_"), "root", "component_id")
+    # A null component_id of a linked class means that no row of it has an id, and then ``least`` is null as well.
+    return fps.join(linked, fps.fp == linked.fp_, "left").select("fp", "copies", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "least").alias("component_id"))
 
 
 def with_classes(rows: DataFrame, by_fp: DataFrame, share: int = HOT_SHARE) -> DataFrame:
@@ -303,18 +309,36 @@ def digest(docs: DataFrame) -> DataFrame:
     return classes(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def with_fingerprints(docs: DataFrame, name: str) -> DataFrame:
+    """The rows, with all their columns, and their fingerprints (signed) as another."""
+
+    def run(batches):
+        for batch in batches:
+            text = pa.RecordBatch.from_arrays([batch.column(batch.schema.names.index("text"))], names=["text"])
+            fps = [fingerprints_of(t).view(np.int64) for _, t in text_chunks([text], 1_000_000)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate([np.zeros(0, np.int64), *fps]))], names=[*batch.schema.names, name])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, LongType())]))
+
+
 def representatives(docs: DataFrame) -> DataFrame:
     """One row, with all its columns, of each class: the row with the least doc_id, the first by its content if several have it.
 
     A class whose rows all have a null doc_id keeps one of them.
     """
-    own = classes(docs).select(F.col("doc_id").alias("id_"), "component_id").distinct()
-    keep = own.filter(F.col("id_").eqNullSafe(F.col("component_id"))).select("id_").distinct()
-    chosen = docs.join(keep, F.col("doc_id").cast("bigint").eqNullSafe(F.col("id_")), "left_semi")
-    repeated = cut(docs.groupBy(F.col("doc_id").alias("again_")).count().filter("count > 1").select("again_"))
+    rows = stored(fingerprints(docs))
+    by_fp = cut(labels_of(rows))
+    own = with_classes(rows, by_fp).select(F.col("doc_id").alias("id_"), "component_id")
+    keep = own.filter(F.col("id_") == F.col("component_id")).select("id_").distinct()
+    number = F.col("doc_id").cast("bigint")
+    chosen = docs.join(keep, number == F.col("id_"), "left_semi")
+    repeated = cut(rows.groupBy(F.col("doc_id").alias("again_")).count().filter("count > 1 or again_ is null").select("again_"))
     if not repeated.limit(1).count():
         return chosen
-    same = F.col("doc_id").eqNullSafe(F.col("again_"))
-    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), *[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]))
-    several = chosen.join(repeated, same, "left_semi").withColumn("rank_in_class_", rank).filter("rank_in_class_ = 1").drop("rank_in_class_")
-    return chosen.join(repeated, same, "left_anti").unionByName(several)
+    # Rows without an id of their own are told apart by their class: one id may be the least of several classes.
+    others = docs.join(repeated, number == F.col("again_"), "left_semi").unionByName(docs.filter(number.isNull()))
+    classed = by_fp.select(F.col("fp").alias("fp_of_row_"), F.col("root").alias("class_of_row_"), F.col("component_id").alias("least_of_class_"))
+    others = with_fingerprints(others, "fp_of_row_").join(classed, "fp_of_row_").filter(number.eqNullSafe(F.col("least_of_class_")))
+    rank = F.row_number().over(Window.partitionBy("class_of_row_").orderBy(F.xxhash64("text"), *[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]))
+    several = others.withColumn("rank_in_class_", rank).filter("rank_in_class_ = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return chosen.join(repeated, number == F.col("again_"), "left_anti").unionByName(several)

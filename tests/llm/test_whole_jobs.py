@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 
-from gristmill.llm import ngram_automaton
+from gristmill.llm import ngram_automaton, simhash_dedup
 
 
 def test_language_model_has_every_ngram(docs, docs_pdf):
@@ -26,3 +26,13 @@ def test_language_model_has_every_ngram(docs, docs_pdf):
     have = sorted(zip(*(ngram_automaton.score(docs).toPandas()[k] for k in ("n_tokens", "score")), strict=True))
     assert [a for a, _ in have] == [a for a, _ in want]
     assert np.allclose([b for _, b in have], [b for _, b in want], rtol=1e-6)
+
+
+def test_representatives_of_rows_without_own_id(spark):
+    """Each class keeps one row, also if ids are null or shared between classes; one with an id goes first."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 10**6, 60)) for _ in range(30)]
+    rows = [(None, t) for t in texts[:20]] + [(None, t) for t in texts[:5]] + [(3, texts[0])] + [(7, t) for t in texts[20:]] + [(8, texts[20])]
+    got = [tuple(r) for r in simhash_dedup.representatives(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()]
+    want = {(3, texts[0])} | {(None, t) for t in texts[1:20]} | {(7, t) for t in texts[20:]}
+    assert len(got) == len(want) and set(got) == want
