@@ -209,17 +209,22 @@ class SkipChain:
     def spans(self, text: str) -> tuple[dict[str, list[tuple[int, int]]], dict[str, list[tuple[int, int]]]]:
         """Base spans, and base spans with the field's additions, of one text."""
         base = base_spans(text)
-        if not any(base.values()):
+        if not _MARK.search(text):
             return base, base
         where, labels, features, chained, skips = nodes(text, base)
-        if not any(labels[i] != labels[j] for i, j in skips):
+        doubles: dict[int, list[int]] = {}
+        for a, b in skips:
+            doubles.setdefault(a, []).append(b)
+            doubles.setdefault(b, []).append(a)
+        # Only words with a double and without a base label can be added.
+        if all(labels[i] for i in doubles):
             return base, base
         p = self.marginals(labels, features, chained, skips)
         best = p.argmax(1)
         every = {k: list(v) for k, v in base.items()}
-        for i in range(len(labels)):
+        for i in sorted(doubles):
             k = int(best[i])
-            if not labels[i] and k and p[i, k] >= SURE and any(best[j] == k for a, b in skips if i in (a, b) for j in (a, b) if j != i):
+            if not labels[i] and k and p[i, k] >= SURE and any(best[j] == k for j in doubles[i]):
                 every[KINDS[k - 1]].append(where[i])
         return base, {k: sorted(v) for k, v in every.items()}
 

@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 
-from gristmill.llm import ngram_automaton, simhash_dedup
+from gristmill.llm import ngram_automaton, pii_skipchain, simhash_dedup
 
 
 def test_language_model_has_every_ngram(docs, docs_pdf):
@@ -36,3 +36,13 @@ def test_representatives_of_rows_without_own_id(spark):
     got = [tuple(r) for r in simhash_dedup.representatives(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()]
     want = {(3, texts[0])} | {(None, t) for t in texts[1:20]} | {(7, t) for t in texts[20:]}
     assert len(got) == len(want) and set(got) == want
+
+
+def test_skip_chain_judges_every_document():
+    """Two equal words that no base pattern knows are judged alike, whatever stands elsewhere."""
+    field = pii_skipchain.SkipChain()
+    field.w[0, 4], field.skip[4, 4] = 1.0, pii_skipchain.SKIP_FLOOR
+    text = "call 5550100200 today, or else 5550100200 please"
+    for more in ("", " and mail a@b.org", " and mail a@b.org then A@b.org, or a@c"):
+        base, every = field.spans(text + more)
+        assert not base["phone"] and [s for s in every["phone"] if s[1] <= len(text)] == [(5, 15), (31, 41)]
