@@ -38,16 +38,17 @@ def nearest_spans(objects: DataFrame, own: DataFrame, group: str, k: int = 3) ->
     return score.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
-def find(df: DataFrame, key: str, text: str, needle: str, hits: int = 100, around: int = 100) -> DataFrame:
+def find(df: DataFrame, key: str | list[str], text: str, needle: str, hits: int = 100, around: int = 100) -> DataFrame:
     """The first ``hits`` occurrences of a string by key and place, in any case, with what surrounds them."""
     low, n = F.lower(F.col(text)), len(needle)
-    parts = df.select(key, text, F.slice(F.split(low, re.escape(needle.lower())), 1, hits + 1).alias("p"), low.contains(needle.lower()).alias("in")).filter("in")
+    keys = [key] if isinstance(key, str) else key
+    parts = df.select(*keys, text, F.slice(F.split(low, re.escape(needle.lower())), 1, hits + 1).alias("p"), low.contains(needle.lower()).alias("in")).filter("in")
     lengths = F.transform(F.slice("p", 1, F.greatest(F.size("p") - 1, F.lit(0))), lambda x: F.length(x))
     starts = F.transform(F.sequence(F.lit(1), F.size("l")), lambda i: F.aggregate(F.slice("l", F.lit(1), i), F.lit(0), lambda a, x: a + x) + (i - 1) * n)
-    got = parts.withColumn("l", lengths).filter(F.size("l") > 0).select(key, text, F.explode(starts).alias("start"))
+    got = parts.withColumn("l", lengths).filter(F.size("l") > 0).select(*keys, text, F.explode(starts).alias("start"))
     lo = F.greatest(F.col("start") - around, F.lit(0))
     context = F.substring(F.col(text), lo + 1, F.col("start") + n + around - lo)
-    return got.select(key, "start", (F.col("start") + n).alias("end"), context.alias("context")).orderBy(key, "start").limit(hits)
+    return got.select(*keys, "start", (F.col("start") + n).alias("end"), context.alias("context")).orderBy(*keys, "start").limit(hits)
 
 
 def graph_violations(nodes: DataFrame, edges: DataFrame, known: DataFrame) -> DataFrame:

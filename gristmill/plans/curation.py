@@ -386,7 +386,7 @@ QUERIES = {
     "ordinal_heads": ordinal_heads,
     "stable_spans": stable_spans,
     "nearest_spans": nearest_spans,
-    "find_text": lambda s, d: evidence.find(_turns(s, d).select("conv_id", "text").filter("turn = 1"), "conv_id", "text", "the"),
+    "find_text": lambda s, d: evidence.find(_turns(s, d), ["conv_id", "turn"], "text", "the"),
     "lexical_search": lambda s, d: serving.lexical_search(_docs(s, d), "doc_id", "text", "the water of time").select("doc_id", "score"),
     "graph_violations": graph_violations,
     "graph_merge": graph_merge,

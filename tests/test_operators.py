@@ -1,6 +1,7 @@
 """Operators on literal rows: identity, redaction, sections, greedy duplicates, upserts and streaming."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from pyspark.sql.types import LongType, StringType, StructType
 from gristmill.functions import text as T
 from gristmill.functions import web
 from gristmill.operators import near_dup, sanitise, serving
+from gristmill.plans import curation
 from gristmill.sources import tables
 from gristmill.streaming import flows
 
@@ -133,3 +135,10 @@ def test_secrets_and_late_values(secret):
     assert (text, flags, blocking, n) == ("x [SECRET] y", ["secret"], ["secret"], 1)
     text, flags, _, _ = sanitise.sanitise("word " * 210_000 + f"{secret} a@b.org")
     assert flags == ["email", "secret"] and text.endswith(" [SECRET] [EMAIL]")
+
+
+def test_find_searches_every_turn(spark):
+    got = [(r.conv_id, r.turn, r.start) for r in curation.QUERIES["find_text"](spark, "/root/testdata/sf0.001").collect()]
+    rows = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").filter("conv_id is not null").collect()
+    want = sorted((r.conv_id, r.turn, m.start()) for r in rows for m in re.finditer("the", (r.text or "").lower()))
+    assert got == want[:100] and any(t != 1 for _, t, _ in got)
