@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import itertools
 import os
 import tempfile
@@ -58,6 +59,18 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Within it, the shuffle files of a query are dropped when the query has ended."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def text_chunks(batches: Iterator[pa.RecordBatch], max_chars: int, text: str = "text") -> Iterator[tuple[dict[str, list], list[str]]]:
     """Column lists and texts (null as "") in chunks of about ``max_chars`` characters; one longer text makes a chunk of its own."""
     for batch in batches:

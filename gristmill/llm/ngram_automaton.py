@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import remainder, stored, text_chunks
+from gristmill.llm.common import remainder, shuffles_dropped, stored, text_chunks
 
 BLOCK_TOKENS = 700_000  #: a block of documents closes at so many tokens
 PART_KEYS = 2_000_000  #: most keys, about, that meet in a key range
@@ -278,13 +278,8 @@ class BackoffAutomaton:
 
 def _stored_alone(df: DataFrame) -> DataFrame:
     """The frame stored; the files of the shuffles that led to it are dropped."""
-    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = conf.get(name, "false")
-    conf.set(name, "true")
-    try:
+    with shuffles_dropped(df.sparkSession):
         return stored(df)
-    finally:
-        conf.set(name, before)
 
 
 def score(docs: DataFrame) -> DataFrame:

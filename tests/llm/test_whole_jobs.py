@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 
-from gristmill.llm import ngram_automaton, pii_skipchain, simhash_dedup
+from gristmill.llm import decontaminate, ngram_automaton, pii_skipchain, simhash_dedup
 
 
 def test_language_model_has_every_ngram(docs, docs_pdf):
@@ -46,3 +46,17 @@ def test_skip_chain_judges_every_document():
     for more in ("", " and mail a@b.org", " and mail a@b.org then A@b.org, or a@c"):
         base, every = field.spans(text + more)
         assert not base["phone"] and [s for s in every["phone"] if s[1] <= len(text)] == [(5, 15), (31, 41)]
+
+
+def test_benchmark_passage_with_one_weighted_word(spark):
+    """Copies of a passage of common words and one rare one are found in longer texts, also if the rare word is altered."""
+    rng = np.random.default_rng(3)
+    pool = [f"common{i}" for i in range(60)]
+    some = lambda k: [pool[i] for i in rng.permutation(60)[:k]]
+    item = [*some(35), "seldom"]
+    odd = lambda i, k: [f"odd{i}x{j}" for j in range(k)]
+    rows = [(i, " ".join(some(50))) for i in range(300)]
+    rows += [(1000 + i, " ".join([*odd(i, 12 + i % 5), *item[: 35 if i % 2 else 36], *odd(-i, 14)])) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")
+    assert sorted(r.doc_id for r in decontaminate.leaks(docs, bench).collect()) == [1000 + i for i in range(12)]
