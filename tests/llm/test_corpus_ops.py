@@ -23,15 +23,23 @@ def words_of(text):
 
 
 def test_token_ids_equal_tokenizer(docs_pdf):
+    """Every character below U+0250 alone and in context, random strings of hard parts, and the table's texts."""
     path = public_tokenizers.path("word_bpe_49k.json")
-    plain, ids = Tokenizer.from_file(path), packing.TokenIds(path, words=500)
-    odd = ["it's we'll 'tis 1234 3.14 a<|endoftext|>b", "éx Å ǅ", "\xa0x\x1cy z \xb2 \xbd", "ΣΣ İx _a_ --%%%!! '' 's", "...,a.b,c'd ×÷"]
-    for t in odd + docs_pdf.text.fillna("").tolist()[:80]:
-        assert np.frombuffer(ids.encode([t])[0], "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids
+    plain, ids = Tokenizer.from_file(path), packing.TokenIds(path, words=5000)
+    every = [chr(c) for c in range(0x250)]
+    rng = np.random.default_rng(1)
+    parts = ["'", "'s", "'re", "'ll", "'S", "'VE", "'d", "'m", "'t", " ", "\n", "\t", "a", "B", "re", "l", "e", "s", "5", "--", "_", ".", "é", "Ɖ", "ß", "×", "÷", "ª", "²", "Ǆ", "İ", "…", "漢", "<|endoftext|>", "\x00", "\x1c", "\x85", "\xa0"]
+    texts = ["Ɖevi Ɛya Ɔ", "Ɗan Ɓauna ya tafi Ƙasar", "it's we'll 'tis 1234 3.14 a<|endoftext|>b", "ΣΣ İx _a_ --%%%!! '' 's", "".join(every), ""]
+    texts += every + [f"a{c}b" for c in every] + [f" {c}'s{c}" for c in every] + [f"1{c}{c}'" for c in every]
+    texts += ["".join(parts[i] for i in rng.integers(0, len(parts), n)) for n in rng.integers(0, 25, 10_000)]
+    texts += docs_pdf.text.fillna("").tolist()
+    for a in range(0, len(texts), 700):
+        for t, got in zip(texts[a : a + 700], ids.encode(texts[a : a + 700]), strict=True):
+            assert np.frombuffer(got, "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids, t
 
 
 def test_packing(docs, docs_pdf, no_docs):
-    got = packing.pack(docs, group_docs=60).toPandas()
+    got = packing.pack(docs, group_pieces=60).toPandas()
     plain = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     want = Counter()
     for i, t in zip(docs_pdf.doc_id, docs_pdf.text.fillna(""), strict=True):
@@ -55,6 +63,8 @@ def test_local_search_empties_bins():
         bins = packing.local_search(start, lengths, 100)
         assert sorted(i for b in bins for i in b) == list(range(60)) and max(sum(lengths[i] for i in b) for b in bins) <= 100
         assert len(bins) <= len(packing.best_fit(lengths, 100)) + 2
+        rest = packing.local_search(bins, lengths, 100, None)
+        assert sorted(i for b in rest for i in b) == list(range(60)) and len(rest) <= len(bins)
 
 
 def brute_nearest(pdf, k=10, every=100):
