@@ -77,9 +77,10 @@ def brute_nearest(pdf, k=10, every=100):
 
 
 def test_nearest_neighbours(spark):
-    pdf = pd.read_parquet(f"{SF}/embeddings.parquet")
-    got = mih_search.nearest(spark.read.parquet(f"{SF}/embeddings.parquet"), every=10).toPandas()
-    want = brute_nearest(pdf, every=10)
+    big = SF.replace("0.001", "0.1")
+    pdf = pd.read_parquet(f"{big}/embeddings.parquet")
+    got = mih_search.nearest(spark.read.parquet(f"{big}/embeddings.parquet"), every=20).toPandas()
+    want = brute_nearest(pdf, every=20)
     hits = sum(len(set(g.vec_id) & {i for _, i in want[q]}) for q, g in got.groupby("query_id"))
     assert hits / sum(map(len, want.values())) >= 0.9
     x = {i: np.array(v, float) for i, v in zip(pdf.vec_id, pdf.embedding, strict=True)}
@@ -97,16 +98,54 @@ def test_odd_vectors(spark):
     assert few.vec_id.tolist() == [1, 2]
 
 
-def test_index_probes_find_every_code():
+def test_repeated_ids_and_equal_vectors(spark):
+    """One id with two vectors is searched by the lesser one; equal vectors rank by id; exact repeats count once."""
+    rows = [(0, [5.0, 1.0]), (0, [1.0, 1.0]), *[(i, [1.0, 1.0]) for i in range(1, 40)], *[(3, [1.0, 1.0])] * 5, *[(200 + i, [9.0, 9.0 + i]) for i in range(3)], (100, [9.0, 9.0])]
+    got = mih_search.nearest(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).toPandas().sort_values(["query_id", "rank"])
+    assert set(got.query_id) == {0, 100, 200} and got.vec_id[got.query_id == 0].tolist() == list(range(1, 11))
+    assert got.vec_id[got.query_id == 100].tolist()[:3] == [200, 201, 202] and got.score[got.query_id == 100].tolist()[:3] == [0, 1, 2]
+
+
+def probed(codes, words, asked, radius):
+    """Pairs that the parts of all substrings give, and the pairs that were looked at."""
+    found, looked = [], 0
+    for j in range(len(codes.subs)):
+        prefix = codes.prefix(codes.value(words, j), j)
+        for p in np.unique(prefix).tolist():
+            at = np.flatnonzero(prefix == p)
+            index = mih_search.PartIndex(codes, j << 40 | p, words[at], at, None)
+            for who, pos, _ in index.pairs(asked, radius, np.full(len(asked), -1)):
+                found += zip(who.tolist(), index.ids[pos].tolist(), strict=True)
+            looked += index.looked
+    return found, looked
+
+
+def test_probes_find_every_code_once():
     rng = np.random.default_rng(2)
-    codes = rng.integers(0, 256, (3000, 8)).astype(np.uint8)
-    index = mih_search.MultiIndex(codes)
-    for radius in (3, 9, 20):
-        for q in range(20):
-            code = codes[q].copy()
-            code[0] ^= 3
-            d = np.unpackbits(codes ^ code, axis=1).sum(1)
-            assert index.search(code, radius, 1).tolist() == np.flatnonzero(d <= radius).tolist() or (d <= radius).sum() == 0
+    x = rng.normal(size=(3000, 40))
+    codes = mih_search.Codes(x[:500], np.arange(500), 3_000_000)
+    words = codes.encode(x)
+    for r in (0, 5, 9, 20, 33, 80):
+        radius = np.array([r, r, max(0, r - 1)])
+        found, _ = probed(codes, words, words[:3], radius)
+        h = np.bitwise_count(words[None] ^ words[:3, None]).sum(2)
+        assert sorted(found) == sorted(zip(*(v.tolist() for v in np.nonzero(h <= radius[:, None])), strict=True))
+
+
+def test_few_codes_are_looked_at_in_clustered_data():
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(200, 64))
+    x = centres[rng.integers(0, 200, 50_000)] + rng.normal(size=(50_000, 64)) * 0.3
+    codes = mih_search.Codes(x[:8192], np.arange(8192), 50_000)
+    words, asked = codes.encode(x), np.arange(0, 50_000, 500)
+    found, looked = probed(codes, words, words[asked], codes.radius(words[asked], asked))
+    near = set(found)
+    caught = []
+    for i, q in enumerate(asked.tolist()):
+        far = ((x - x[q]) ** 2).sum(1)
+        far[q] = np.inf
+        caught += [(i, j) in near for j in np.argpartition(far, 10)[:10].tolist()]
+    assert looked < 0.2 * len(x) * len(asked) and np.mean(caught) >= 0.9
 
 
 def test_language_model(docs, docs_pdf, no_docs, monkeypatch):
