@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 #: Longest text, in characters, that a training sample takes; scoring has no such bound.
 SAMPLE_TEXT_CHARS = 262_144
+#: Most characters, in all, of a class in a labelled sample.
+SAMPLE_CHARS = 24_000_000
 
 
 def remainder(col: str, mod: int) -> Column:
@@ -139,16 +141,35 @@ def class_sample(df: DataFrame, label: str, per_class: int | dict, key: str = "d
     return df.filter(wanted & (F.length("text") <= SAMPLE_TEXT_CHARS) if "text" in df.columns else wanted)
 
 
+def _within(rows: DataFrame, order: Column, chars: int, label: str | None = None) -> list:
+    """Rows in the order of a hash until their texts have ``chars`` characters (of each label); what the driver holds stays bounded."""
+    left: dict = {}
+    out = []
+    for r in rows.withColumn("order_", order).repartitionByRange(8, "order_", "text").sortWithinPartitions("order_", "text").toLocalIterator():
+        key = r[label] if label else None
+        left[key] = left.get(key, chars) - len(r.text)
+        if left[key] >= 0 or left[key] + len(r.text) == chars:
+            out.append(r)
+    return out
+
+
+def sampled_texts(rows: DataFrame, name: str, total: int, sample: int, chars: int, key: str = "doc_id") -> list[str]:
+    """Texts, sorted, of about ``sample`` of ``total`` rows by a hash of the key, and of about ``chars`` characters at most."""
+    order = F.xxhash64(F.lit(name), F.col(key))
+    drawn = F.pmod(order, F.lit(1_000_000)) < int(min(1.0, sample / max(1, total)) * 1_000_000 + 0.5)
+    return sorted(r.text for r in _within(rows.filter(drawn & (F.length("text") <= SAMPLE_TEXT_CHARS)).select(key, "text"), order, chars))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, per_class: int | dict) -> list[tuple[str, int]]:
     """(text, 0 or 1) of about ``per_class`` documents of each class among those whose id satisfies ``learn``.
 
     The ids are chosen from the labels alone; they are few by the bound, so they are broadcast to the one scan of texts.
-    Of several labels of one document the least holds.
+    The texts of a class have `SAMPLE_CHARS` characters at most. Of several labels of one document the least holds.
     """
     own = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("y")).filter(F.col("y").isin(0, 1) & learn)
     ids = class_sample(own.groupBy("doc_id").agg(F.min("y").alias("y")), "y", per_class)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter(F.length("text") <= SAMPLE_TEXT_CHARS)
-    rows = texts.join(F.broadcast(ids), "doc_id").collect()
+    rows = _within(texts.join(F.broadcast(ids), "doc_id"), F.xxhash64(F.lit("sample"), F.col("doc_id")), SAMPLE_CHARS, "y")
     rows.sort(key=lambda r: (r.doc_id, r.text))
     return [(r.text, r.y) for r in rows]
 

@@ -1,7 +1,12 @@
 """Secret and personal-data scans against plain readings of their contracts."""
 
 import hashlib
+import itertools
 import re
+import time
+
+import numpy as np
+import pandas as pd
 
 from gristmill.llm import pii_skipchain, secret_scan
 
@@ -90,13 +95,64 @@ def test_pii_equals_plain_scan(docs_pdf):
         assert [(k, a, b) for k in pii_skipchain.KINDS for a, b in base[k]] == sorted(plain_pii(t), key=lambda s: (pii_skipchain.KINDS.index(s[0]), s[1]))
 
 
-def test_skip_chain_labels_a_double(docs_pdf):
-    field = pii_skipchain.SkipChain().fit(docs_pdf.text.fillna("").tolist())
-    text = "reach +19885552485 today, later 988-555-2485 again; order 4471 is unrelated 12-34"
-    base, every = field.spans(text)
-    assert [text[a:b] for a, b in base["phone"]] == ["+19885552485"]
-    assert [text[a:b] for a, b in every["phone"]] == ["+19885552485", "988-555-2485"]
+def fitted():
+    d = pd.read_parquet("/root/testdata/sf0.01/documents.parquet")
+    return pii_skipchain.SkipChain().fit(sorted(d.text.dropna()))
+
+
+def test_skip_chain_labels_doubles_alike():
+    """1 to 50 copies of a base value in other forms all get its label and no other; unrelated numbers get none."""
+    field = fitted()
+    for k in (1, 2, 3, 5, 20, 50):
+        for kind, value, copy in (("phone", "+19885552485", "988-555-2485"), ("phone", "+1 (988) 555-2485", "(988) 555-2485"), ("card", "4111 1111 1111 1111", "4111.1111.1111.1111"), ("email", "anna.b@x.org", "anna.b"), ("email", "anna.b@x.org", "Anna.B")):
+            text = f"reach {value} today, " + f"later {copy} again; " * k + "order 4471 is unrelated 12-34 and 622-417-9035 or 1111"
+            base, every = field.spans(text)
+            assert [text[a:b] for a, b in base[kind]] == [value]
+            assert [text[a:b] for a, b in every[kind]] == [value] + [copy] * k
+            assert all(every[other] == base[other] for other in pii_skipchain.KINDS if other != kind)
     assert field.spans("no data 12 34") == (base_empty(), base_empty())
+    assert field.spans("the 4471 or 4471, then 10.2.1-5 and 10.2.1-5 in 2019-2020, 2019-2020") == (base_empty(), base_empty())
+
+
+def enumerated(field, labels, features, chained, skips):
+    n = len(pii_skipchain.KINDS) + 1
+    own = np.array([field.w[f].sum(0) for f in features])
+    total = np.zeros((len(labels), n))
+    for ys in itertools.product(range(n), repeat=len(labels)):
+        if all(not k or k == y for k, y in zip(labels, ys, strict=True)):
+            s = sum(own[i, y] for i, y in enumerate(ys) if not labels[i]) + sum(field.chain[ys[i - 1], ys[i]] for i in range(1, len(ys)) if chained[i])
+            w = np.exp(s + sum(field.skip[ys[a], ys[b]] for a, b in skips))
+            for i, y in enumerate(ys):
+                total[i, y] += w
+    return total / total.sum(1, keepdims=True)
+
+
+def test_message_passing_against_enumeration():
+    """Marginals are exact on trees and close on loops."""
+    rng = np.random.default_rng(3)
+    field = pii_skipchain.SkipChain()
+    n = len(pii_skipchain.KINDS) + 1
+    field.w, field.chain = rng.normal(0, 0.5, field.w.shape), rng.normal(0, 0.7, (n, n))
+    t = rng.normal(0, 0.7, (n, n))
+    field.skip = (t + t.T) / 2
+    features = [rng.permutation(pii_skipchain.FEATURES)[:4].tolist() for _ in range(6)]
+    for labels, chained, skips, near in (
+        ([0, 4, 0, 0, 1, 0], [False, True, True, False, True, False], [(0, 3), (3, 5)], 1e-6),
+        ([0, 0, 0, 2, 0, 0], [False, True, False, False, True, True], [(1, 2), (1, 3)], 1e-6),
+        ([0, 0, 0, 0, 3, 0], [False, True, True, False, True, False], [(0, 2), (2, 5), (3, 5)], 0.08),
+    ):
+        got = field.marginals(labels, features, chained, skips, rounds=80)
+        assert np.abs(got - enumerated(field, labels, features, chained, skips)).max() < near
+
+
+def test_skip_chain_time_grows_with_mentions():
+    field, took = fitted(), []
+    for k in (5_000, 40_000):
+        began = time.time()
+        _, every = field.spans("reach +19885552485 today " + "or 988-555-2485 then " * k)
+        took.append(time.time() - began)
+        assert len(every["phone"]) == k + 1
+    assert took[1] < 24 * took[0]
 
 
 def base_empty():
