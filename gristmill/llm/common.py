@@ -142,10 +142,10 @@ def class_sample(df: DataFrame, label: str, per_class: int | dict, key: str = "d
 
 
 def _within(rows: DataFrame, order: Column, chars: int, label: str | None = None) -> list:
-    """Rows in the order of a hash until their texts have ``chars`` characters (of each label); what the driver holds stays bounded."""
+    """Rows until their texts have ``chars`` characters (of each label), in an order by a hash; what the driver holds stays bounded."""
     left: dict = {}
     out = []
-    for r in rows.withColumn("order_", order).repartitionByRange(8, "order_", "text").sortWithinPartitions("order_", "text").toLocalIterator():
+    for r in rows.withColumn("order_", order).repartition(8, "order_").sortWithinPartitions("order_", "text").toLocalIterator():
         key = r[label] if label else None
         left[key] = left.get(key, chars) - len(r.text)
         if left[key] >= 0 or left[key] + len(r.text) == chars:

@@ -100,28 +100,52 @@ def _joined(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return z ^ (z >> np.uint64(32))
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, sorted, and the place of each key among them."""
+    order = np.argsort(keys)
+    ranked = keys[order]
+    first = np.ones(len(keys), bool)
+    np.not_equal(ranked[1:], ranked[:-1], out=first[1:])
+    at = np.empty(len(keys), np.int32)
+    at[order] = np.cumsum(first, dtype=np.int32) - 1
+    return ranked[first], at
+
+
 class Grams:
-    """A block's distinct words, bigrams and trigrams, sorted by key, and which of them each token completes."""
+    """A block's distinct n-grams and which of them each token completes: words and bigrams sorted by key, then trigrams sorted by key.
+
+    ``orders`` says which of the two parts are worked out; the other is left empty.
+    """
 
-    def __init__(self, row: dict):
+    def __init__(self, row: dict, orders: tuple[int, ...] = (2, 3)):
         self.lengths = np.array(row["lengths"], np.int64)
         self.codes = codes = np.frombuffer(zlib.decompress(row["codes"]), np.int32)
         words = _list(row["words"])
         own = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
         self.starts = np.cumsum(self.lengths) - self.lengths
-        self.within = np.arange(len(codes)) - np.repeat(self.starts, self.lengths)
-        two, three = np.flatnonzero(self.within >= 1), np.flatnonzero(self.within >= 2)
-        pairs = np.zeros(len(codes), np.uint64)
-        pairs[two] = _joined(own[codes[two - 1]], own[codes[two]])
-        self.keys, at = np.unique(np.concatenate([own, pairs[two], _joined(pairs[three - 1], own[codes[three]])]), return_inverse=True)
-        of_word, of_two, of_three = np.split(at, [len(own), len(own) + len(two)])
-        self.one = of_word[codes]
-        self.two, self.three = np.full(len(codes), -1), np.full(len(codes), -1)
-        self.two[two], self.three[three] = of_two, of_three
-        self.order = np.ones(len(self.keys), np.int64)
-        self.order[of_two], self.order[of_three] = 2, 3
-        self.token = np.zeros(len(self.keys), np.int64)  #: one token that completes the n-gram
-        self.token[of_two], self.token[of_three] = two, three
+        self.within = np.arange(len(codes), dtype=np.int32) - np.repeat(self.starts, self.lengths)
+        two = np.flatnonzero(self.within >= 1)
+        pairs = _joined(own[codes[two - 1]], own[codes[two]])
+        self.one, self.two, self.three = (np.full(len(codes), -1, np.int32) for _ in range(3))
+        low, high, order, token = np.zeros(0, np.uint64), np.zeros(0, np.uint64), [], []
+        if 2 in orders:
+            low, at = _distinct(np.concatenate([own, pairs]))
+            self.one, self.two[two] = at[: len(own)][codes], at[len(own) :]
+            order.append(np.ones(len(low), np.int8))
+            token.append(np.zeros(len(low), np.int32))
+            order[0][self.two[two]], token[0][self.two[two]] = 2, two
+        if 3 in orders:
+            three = np.flatnonzero(self.within >= 2)
+            every = np.zeros(len(codes), np.uint64)
+            every[two] = pairs
+            high, at = _distinct(_joined(every[three - 1], own[codes[three]]))
+            self.three[three] = at + len(low)
+            order.append(np.full(len(high), 3, np.int8))
+            token.append(np.zeros(len(high), np.int32))
+            token[-1][at] = three
+        self.keys, self.split = np.concatenate([low, high]), len(low)
+        self.order = np.concatenate([np.zeros(0, np.int8), *order])
+        self.token = np.concatenate([np.zeros(0, np.int32), *token])  #: one token that completes the n-gram
 
     def learned(self, learn: list[bool]) -> np.ndarray:
         """Training counts of the n-grams within the block."""
@@ -161,19 +185,19 @@ class Grams:
         return base, p
 
 
-def _rows(block: int, keys: np.ndarray, columns: list[np.ndarray], ranges: int) -> pa.RecordBatch:
-    """Sorted keys and their figures, a row for each range of keys."""
+def _rows(block: int, keys: np.ndarray, columns: list[np.ndarray], ranges: int, start: int = 0) -> pa.RecordBatch:
+    """Sorted keys and their figures, a row for each range of keys; the ranges are numbered from ``start``."""
     edges = [0, *np.searchsorted(keys, np.arange(1, ranges, dtype=np.uint64) * np.uint64((1 << 64) // ranges)).tolist(), len(keys)]
     parts = [(k, a, b) for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b > a]
     fields = [[_planes(np.diff(keys[a:b], prepend=np.uint64(0))) for _, a, b in parts], *([_small(c[a:b]) for _, a, b in parts] for c in columns)]
-    return pa.RecordBatch.from_arrays([pa.array([k for k, _, _ in parts], pa.int32()), pa.array([block] * len(parts), pa.int64()), *(pa.array(f, pa.binary()) for f in fields)], names=["part", "block", "keys", "x", "y"][: 3 + len(columns)])
+    return pa.RecordBatch.from_arrays([pa.array([start + k for k, _, _ in parts], pa.int32()), pa.array([block] * len(parts), pa.int64()), *(pa.array(f, pa.binary()) for f in fields)], names=["part", "block", "keys", "x", "y"][: 3 + len(columns)])
 
 
 def _met(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Where each key of a range's rows stands among its distinct keys, the blocks that hold it, and where rows end."""
     keys = [np.cumsum(_numbers(k, np.uint64), dtype=np.uint64) for k in table.column("keys").to_pylist()]
-    _, at, blocks_ = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
-    return at, blocks_, np.cumsum([len(k) for k in keys])[:-1]
+    _, at = _distinct(np.concatenate(keys))
+    return at, np.bincount(at), np.cumsum([len(k) for k in keys])[:-1]
 
 
 def _back(table: pa.Table, new: int, *columns: list[np.ndarray]) -> pa.Table:
@@ -287,16 +311,21 @@ def score(docs: DataFrame) -> DataFrame:
     own = stored(blocks(docs))
     sums = own.select(F.explode(F.arrays_zip("learn", "lengths")).alias("d")).agg(F.sum(F.when(F.col("d.learn"), F.col("d.lengths"))), F.sum("d.lengths")).first()
     n, tokens = sums[0] or 0, sums[1] or 0
-    ranges = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-3 * tokens // PART_KEYS))
+    ranges = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-2 * tokens // PART_KEYS))
+
+    def counted(order: int) -> DataFrame:
+        """Counts of words and bigrams (2) or of trigrams (3) over all blocks, by block. One after the other, they need half the disk at once."""
+
+        def counts(batches):
+            for batch in batches:
+                for row in batch.to_pylist():
+                    grams = Grams(row, (order,))
+                    yield _rows(row["block"], grams.keys, [grams.learned(row["learn"]) * 2 + (grams.order == 1)], ranges, ranges * (order - 2))
 
-    def counts(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                grams = Grams(row)
-                yield _rows(row["block"], grams.keys, [grams.learned(row["learn"]) * 2 + (grams.order == 1)], ranges)
+        rows = own.select("block", "learn", "lengths", "codes", "words").mapInArrow(counts, "part int, block bigint, keys binary, x binary")
+        return _stored_alone(rows.groupBy("part").applyInArrow(_added_counts, _RANGES))
 
-    learned = own.select("block", "learn", "lengths", "codes", "words").mapInArrow(counts, "part int, block bigint, keys binary, x binary")
-    learned = _stored_alone(learned.groupBy("part").applyInArrow(_added_counts, _RANGES))
+    learned = counted(2).unionByName(counted(3))
     denominator = n + 0.5 * ((learned.agg(F.sum("new")).first()[0] or 0) + 1)
     # Blocks (step 0) and their counts (step 1) in one frame, so that both steps below share one shuffle.
     pool = own.withColumn("step", F.lit(0)).unionByName(learned.select("block", "part", "x", "y", F.lit(1).alias("step")), allowMissingColumns=True)
@@ -309,7 +338,7 @@ def score(docs: DataFrame) -> DataFrame:
         totals, flags = _figures(left, 1)
         followers, needed = grams.followers(totals, flags % 2 == 1), grams.failing(totals)
         # The followers of what only one block has are all in that block.
-        at = np.flatnonzero((flags >= 2) & (needed | (followers[0] > 0)))
+        at = np.flatnonzero(((flags >= 2) & (needed | (followers[0] > 0)))[: grams.split])
         return pa.Table.from_batches([_rows(key[0].as_py(), grams.keys[at], [followers[0][at] * 2 + needed[at], followers[1][at]], ranges)])
 
     asked = pool.groupBy("block").applyInArrow(ask, "part int, block bigint, keys binary, x binary, y binary")
@@ -320,7 +349,7 @@ def score(docs: DataFrame) -> DataFrame:
         grams = Grams(row)
         totals, flags = _figures(left, 1)
         followers = grams.followers(totals, flags % 2 == 1)
-        at = np.flatnonzero((flags >= 2) & grams.failing(totals))
+        at = np.flatnonzero(((flags >= 2) & grams.failing(totals))[: grams.split])
         for own_, every in zip(followers, _figures(right, 2), strict=True):
             own_[at] = every
         base, p = grams.scores(totals, *followers, denominator)
