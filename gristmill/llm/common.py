@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 
 #: Longest text, in characters, that a training sample takes; scoring has no such bound.
 SAMPLE_TEXT_CHARS = 262_144
+#: Most classes of a sample, the most frequent ones.
+CLASSES = 1024
+#: Fewer sequences than this are gone through one after another.
+FEW = 4
 #: Most characters, in all, of a class in a labelled sample.
 SAMPLE_CHARS = 24_000_000
 
@@ -131,7 +135,7 @@ def class_sample(df: DataFrame, label: str, per_class: int | dict, key: str = "d
     whatever the partitioning. Rows with a null key or label, or over SAMPLE_TEXT_CHARS, take no part.
     """
     df = df.filter(F.col(label).isNotNull() & F.col(key).isNotNull())
-    counts = {r[0]: r[1] for r in df.groupBy(label).count().orderBy(F.desc("count"), label).limit(1024).collect()}
+    counts = {r[0]: r[1] for r in df.groupBy(label).count().orderBy(F.desc("count"), label).limit(CLASSES).collect()}
     if not counts:
         return df.limit(0)
     draw = F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1_000_000))
@@ -141,7 +145,7 @@ def class_sample(df: DataFrame, label: str, per_class: int | dict, key: str = "d
     return df.filter(wanted & (F.length("text") <= SAMPLE_TEXT_CHARS) if "text" in df.columns else wanted)
 
 
-def _within(rows: DataFrame, order: Column, chars: int, label: str | None = None) -> list:
+def within_chars(rows: DataFrame, order: Column, chars: int, label: str | None = None) -> list:
     """Rows until their texts have ``chars`` characters (of each label), in an order by a hash; what the driver holds stays bounded."""
     left: dict = {}
     out = []
@@ -157,7 +161,7 @@ def sampled_texts(rows: DataFrame, name: str, total: int, sample: int, chars: in
     """Texts, sorted, of about ``sample`` of ``total`` rows by a hash of the key, and of about ``chars`` characters at most."""
     order = F.xxhash64(F.lit(name), F.col(key))
     drawn = F.pmod(order, F.lit(1_000_000)) < int(min(1.0, sample / max(1, total)) * 1_000_000 + 0.5)
-    return sorted(r.text for r in _within(rows.filter(drawn & (F.length("text") <= SAMPLE_TEXT_CHARS)).select(key, "text"), order, chars))
+    return sorted(r.text for r in within_chars(rows.filter(drawn & (F.length("text") <= SAMPLE_TEXT_CHARS)).select(key, "text"), order, chars))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, per_class: int | dict) -> list[tuple[str, int]]:
@@ -169,7 +173,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
     own = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("y")).filter(F.col("y").isin(0, 1) & learn)
     ids = class_sample(own.groupBy("doc_id").agg(F.min("y").alias("y")), "y", per_class)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter(F.length("text") <= SAMPLE_TEXT_CHARS)
-    rows = _within(texts.join(F.broadcast(ids), "doc_id"), F.xxhash64(F.lit("sample"), F.col("doc_id")), SAMPLE_CHARS, "y")
+    rows = within_chars(texts.join(F.broadcast(ids), "doc_id"), F.xxhash64(F.lit("sample"), F.col("doc_id")), SAMPLE_CHARS, "y")
     rows.sort(key=lambda r: (r.doc_id, r.text))
     return [(r.text, r.y) for r in rows]
 
@@ -182,6 +186,11 @@ def lockstep(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, active
 
 
+def side_by_side(active: np.ndarray) -> int:
+    """Positions up to which sequences are gone through side by side; beyond, so few run on that each goes on its own."""
+    return max(1, int(np.searchsorted(-active, -FEW, side="right"))) if len(active) > 256 else len(active)
+
+
 class _Numbers(dict):
     def __missing__(self, key):
         n = self[key] = len(self)

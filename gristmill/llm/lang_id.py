@@ -5,10 +5,11 @@ Each word then gets a score for each candidate from byte n-gram frequencies of t
 and Viterbi decoding over the words, with a penalty for each switch, labels the spans. The document's
 language is the one whose spans hold most letters; its score is their share of the letters.
 
-Learning uses a bounded, documented sample (`PER_LANG` documents of each language, by a hash of the id);
-prediction reads whole texts and nothing else. Null texts and texts without a letter are `und` with
+Learning uses a bounded, documented sample (`PER_LANG` documents of each language, by a hash of the id, and of
+the `CLASSES` most frequent languages, should the column hold more values than that); prediction reads whole texts and nothing else. Null texts and texts without a letter are `und` with
 score 0. Ties go to the language that sorts first. Repeated rows get equal results, an empty table an
-empty result; if nothing can be learned every prediction is `und`. Extra columns are ignored.
+empty result; if nothing can be learned every prediction is `und`. Extra columns are ignored. Documents are
+decoded side by side, and the rest of the few longest one by one, so one very long text takes no longer a word.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import WordTable, class_sample, is_held_out, lockstep, map_texts, remainder
+from gristmill.llm.common import CLASSES, SAMPLE_CHARS, WordTable, class_sample, is_held_out, lockstep, map_texts, remainder, side_by_side, within_chars
 
 PER_LANG = 500
 BUCKETS = 1 << 16
@@ -118,7 +119,8 @@ class LanguageModel:
         v = np.zeros((len(lengths), len(self.langs)))
         v[: active[0]] = self.prior + scores[starts[: active[0]]]
         lanes = np.arange(len(lengths))
-        for t in range(1, len(active)):
+        alone = side_by_side(active)
+        for t in range(1, alone):
             n = active[t]
             rows = starts[:n] + t
             best = v[:n].argmax(1)
@@ -126,8 +128,27 @@ class LanguageModel:
             swap = v[:n] < top
             v[:n] = np.where(swap, top, v[:n]) + scores[rows]
             switched[rows], source[rows] = swap, best
+        # The words of the few longest documents, one document after another.
+        for i in range(active[alone] if alone < len(active) else 0):
+            own = v[i].tolist()
+            for row in range(starts[i] + alone, starts[i] + lengths[order[i]]):
+                top = max(own)
+                best = own.index(top)
+                top -= SWITCH
+                swap = [x < top for x in own]
+                own = [(top if y else x) + z for x, y, z in zip(own, swap, scores[row].tolist(), strict=True)]
+                if any(swap):
+                    switched[row], source[row] = swap, best
+            v[i] = own
         state = v.argmax(1)
-        for t in range(len(active) - 1, -1, -1):
+        for i in range(active[alone] if alone < len(active) else 0):
+            k = int(state[i])
+            for row in range(starts[i] + int(lengths[order[i]]) - 1, starts[i] + alone - 1, -1):
+                path[row] = k
+                if switched[row, k]:
+                    k = int(source[row])
+            state[i] = k
+        for t in range(alone - 1, -1, -1):
             n = active[t]
             rows = starts[:n] + t
             path[rows] = state[:n]
@@ -186,8 +207,8 @@ class Identifier:
 def fit(docs: DataFrame, per_lang: int = PER_LANG) -> LanguageModel:
     """Learns from text and non-null lang of documents whose crc32(doc_id) mod 5 is not 0."""
     own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "lang").filter((remainder("doc_id", 5) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r[0]: r[1] for r in own.groupBy("lang").count().collect()}
-    rows = sorted((r.text, r.lang) for r in class_sample(own, "lang", per_lang).collect())
+    counts = {r[0]: r[1] for r in own.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(CLASSES).collect()}
+    rows = sorted((r.text, r.lang) for r in within_chars(class_sample(own, "lang", per_lang), F.xxhash64(F.lit("sample"), "doc_id"), SAMPLE_CHARS, "lang"))
     known = {lang for _, lang in rows}
     return LanguageModel(rows, {k: v / sum(counts.values()) for k, v in counts.items() if k in known})
 

@@ -9,6 +9,7 @@ document; the marginals give the offending offsets and are aggregated (expected
 largest marginal) by a fitted logistic to the document score.
 
 Learning uses a bounded, documented sample (`PER_CLASS` documents of each class, by a hash of the id).
+Documents are worked through side by side, and the rest of the few longest one by one.
 Null text counts as empty; a text without words gets the score of zero expected toxic words. Repeated
 rows get equal scores, an empty table gives an empty result, without labels of both classes the score
 is the share of label 1 (0 without any). A null doc_id is scored and counts as not held out.
@@ -16,6 +17,7 @@ is the share of label 1 (0 without any). A null doc_id is scored and counts as n
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 
@@ -23,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import WordTable, is_held_out, labelled_sample, lockstep, map_texts, remainder
+from gristmill.llm.common import WordTable, is_held_out, labelled_sample, lockstep, map_texts, remainder, side_by_side
 
 PER_CLASS = {0: 3600, 1: 1200}  #: documents of the sample, by label
 BUCKETS = 1 << 18
@@ -57,7 +59,9 @@ def marginal_logits(u: np.ndarray, lengths: np.ndarray, a: np.ndarray) -> tuple[
     starts = (np.cumsum(lengths) - lengths)[order]
     f, b = np.zeros(len(u)), np.zeros(len(u))
     run = np.zeros(len(lengths))
-    for t, n in enumerate(active.tolist()):
+    alone = side_by_side(active)
+    few = [(int(starts[i]), int(lengths[order[i]])) for i in range(active[alone])] if alone < len(active) else []
+    for t, n in enumerate(active[:alone].tolist()):
         rows = starts[:n] + t
         if t:
             x = run[:n]
@@ -65,8 +69,14 @@ def marginal_logits(u: np.ndarray, lengths: np.ndarray, a: np.ndarray) -> tuple[
         else:
             run[:n] = u[rows]
         f[rows] = run[:n]
+    for i, (start, length) in enumerate(few):  # the words of the few longest documents, one document after another
+        f[start + alone : start + length] = _recursion(u[start + alone : start + length].tolist(), float(run[i]), *a.ravel().tolist(), after=True)
     run[:] = 0
-    for t in range(len(active) - 2, -1, -1):
+    for i, (start, length) in enumerate(few):
+        own = _recursion(u[start + alone : start + length][::-1].tolist(), 0.0, a[0, 0], a[1, 0], a[0, 1], a[1, 1], after=False)
+        b[start + alone - 1 : start + length - 1] = own[::-1]
+        run[i] = own[-1]
+    for t in range(min(len(active), alone) - 2, -1, -1):
         n = active[t + 1]
         rows = starts[:n] + t
         x = u[rows + 1] + run[:n]
@@ -75,6 +85,20 @@ def marginal_logits(u: np.ndarray, lengths: np.ndarray, a: np.ndarray) -> tuple[
     return f, b, f + b
 
 
+def _recursion(u: list[float], x: float, a: float, b: float, c: float, d: float, after: bool) -> list[float]:
+    """Messages in log-odds along one document; each word's own log-odds count after the step (forward) or before it (backward)."""
+    out = []
+    for w in u:
+        if not after:
+            x += w
+        low, high = c + x, d + x
+        x = max(b, high) + math.log1p(math.exp(-abs(b - high))) - max(a, low) - math.log1p(math.exp(-abs(a - low)))
+        if after:
+            x += w
+        out.append(x)
+    return out
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
 

@@ -1,5 +1,6 @@
 """Learned models: held-out accuracy and defined results for odd rows."""
 
+import time
 import zlib
 
 import numpy as np
@@ -152,3 +153,50 @@ def test_lockstep_and_word_table():
     for tokens in (["a", "bb", "a"], ["ccc", "dddd"], ["bb", "eeeee"]):
         at = table.look_up(tokens)
         assert table.rows[at].tolist() == [len(t) for t in tokens]
+
+def test_long_documents_alone(monkeypatch):
+    """The few longest documents are gone through one by one, with the same results as side by side."""
+    from gristmill.llm import common
+
+    rng = np.random.default_rng(6)
+    a, lengths = rng.normal(size=(2, 2)), np.array([700, 3, 0, 400, 90, 1, 800])
+    u, scores = rng.normal(0, 2, lengths.sum()), rng.normal(0, 6, (lengths.sum(), 3)).astype(np.float32)
+    model = lang_id.LanguageModel([], {})
+    model.langs, model.prior = ["a", "b", "c"], np.log([0.5, 0.3, 0.2])
+    got = [*toxicity_crf.marginal_logits(u, lengths, a), model.paths(scores, lengths)]
+    monkeypatch.setattr(common, "FEW", 0)
+    for x, y in zip(got, [*toxicity_crf.marginal_logits(u, lengths, a), model.paths(scores, lengths)], strict=True):
+        assert np.allclose(x, y)
+
+
+def test_one_long_text_takes_no_longer():
+    began = time.time()
+    words = np.random.default_rng(0).normal(0, 2, 400_000)
+    toxicity_crf.marginal_logits(words, np.array([400_000]), np.zeros((2, 2)))
+    model = lang_id.LanguageModel([], {})
+    model.langs, model.prior = ["a", "b"], np.log([0.5, 0.5])
+    model.paths(words.reshape(-1, 2).astype(np.float32), np.array([200_000]))
+    assert time.time() - began < 6
+
+
+def plain_network(net, text):
+    """The network read plainly: every window of every chunk of the bytes in turn."""
+    p = {k: v.astype(float) for k, v in net.p.items()}
+    raw = list(text.encode())
+    n = max(1, -(-len(raw) // 512))
+    byte = lambda i: p["emb"][raw[i] if i < len(raw) else 0]
+    w = np.concatenate([p["w1"][:, :24], p["w1"][:, 24:]])
+    hidden = []
+    for c in range(max(1, n - 1)):
+        top = np.zeros(24)
+        for step in range(c * 128, (c + (2 if n > 1 else 1)) * 128):
+            if step * 4 < len(raw):
+                top = np.maximum(top, np.concatenate([byte(step * 4 + i) for i in range(8)]) @ w + p["b1"])
+        hidden.append(np.maximum(top @ p["w2"] + p["b2"], 0))
+    return float(np.concatenate([np.max(hidden, 0), np.mean(hidden, 0)]) @ p["w3"] + p["b3"][0])
+
+
+def test_network_equals_plain_reading():
+    net = quality_cnn.ByteCNN(seed=3)
+    texts = ["", "a", "hello world " * 50, "Ünïcode \\u6f22\\u5b57 " * 90, "x" * 512, "yz" * 700]
+    assert np.allclose(net.logits(texts), [plain_network(net, t) for t in texts], atol=1e-4)
