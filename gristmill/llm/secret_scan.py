@@ -22,7 +22,7 @@ from re import _parser as sre_parse
 import numpy as np
 from pyspark.sql import DataFrame
 
-from gristmill.llm.common import map_texts
+from gristmill.llm.common import map_texts, text_chunks
 
 #: Fixed values of the contract's base kinds: kind, expression, group to measure, least length of it.
 BASE = (
@@ -47,10 +47,6 @@ WIDE = 6
 MANY = 64
 
 
-def _upper(c: int) -> int:
-    return c - 32 if 97 <= c <= 122 else c
-
-
 def _grams(strings: set[str]) -> list[frozenset[str]]:
     """Clauses that hold for a text with one of these strings: one OR clause over a trigram of each."""
     if not strings or any(len(s) < 3 for s in strings):
@@ -261,7 +257,8 @@ def redacted(docs: DataFrame) -> DataFrame:
         for batch in batches:
             at = batch.schema.names.index("text")
             texts = batch.column(at).to_pylist()
-            new = [None if t is None else redact(t, s) if s else t for t, s in zip(texts, scanner.scan([t or "" for t in texts]), strict=True)]
+            spans = [s for _, part in text_chunks([batch.select(["text"])], 4_000_000) for s in scanner.scan(part)]
+            new = [None if t is None else redact(t, s) if s else t for t, s in zip(texts, spans, strict=True)]
             arrays = list(batch.columns)
             arrays[at] = pa.array(new, batch.schema.field(at).type)
             if "n_chars" in names:
