@@ -230,7 +230,8 @@ def links(fps: DataFrame, bits: int = BITS) -> DataFrame:
     large = rows.groupBy("bucket").count().filter(F.col("count") > BUCKET)
     large = cut(large.withColumn("shares", F.ceil(F.col("count") / BUCKET).cast("int")).drop("count"))
     if large.limit(1).count():
-        rows = rows.join(large, "bucket", "left").withColumn("shares", F.coalesce("shares", F.lit(1)))
+        # There are at most rows / BUCKET of them, and a broadcast leaves the rows of a large bucket where they are.
+        rows = rows.join(F.broadcast(large), "bucket", "left").withColumn("shares", F.coalesce("shares", F.lit(1)))
         own = F.pmod(F.xxhash64("fp"), F.col("shares")).cast("int")
         rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
         rows = rows.withColumn("cell", F.least("own", "other") * F.col("shares") + F.greatest("own", "other"))
