@@ -151,6 +151,16 @@ def urls(spark, d):
     return own.select("page_id", "canonical", web.content_id(F.col("canonical")).alias("content_id"))
 
 
+TRACKED = "^(utm_.*|gclid|fbclid|mc_eid|mc_cid|igshid|ref|ref_src|ref_url)$"
+URLS = rf"""WITH c AS (SELECT page_id, trim(url) AS u FROM pages), p AS (SELECT page_id, lower(regexp_extract(u, '^([A-Za-z]+)://', 1)) AS scheme, lower(regexp_replace(regexp_extract(u, '^[A-Za-z]+://([^/?#]*)', 1), '^.*@', '')) AS place,
+  regexp_extract(u, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(u, '^[^?#]*[?]([^#]*)', 1) AS query FROM c),
+q AS (SELECT page_id, unnest(list_filter(string_split(query, '&'), lambda x: regexp_matches(x, '^[^=]*=.'))) AS x FROM p),
+k AS (SELECT page_id, url_decode(replace(regexp_extract(x, '^([^=]*)=', 1), '+', ' ')) AS k, url_decode(replace(regexp_extract(x, '=(.*)$', 1), '+', ' ')) AS v FROM q),
+j AS (SELECT page_id, string_agg(replace(url_encode(k), '%20', '+') || '=' || replace(url_encode(v), '%20', '+'), '&' ORDER BY k, v) AS query FROM k WHERE NOT regexp_matches(lower(k), '{TRACKED}') GROUP BY 1),
+o AS (SELECT p.page_id, scheme || '://' || CASE scheme WHEN 'http' THEN regexp_replace(place, ':80$', '') ELSE regexp_replace(place, ':443$', '') END || CASE path WHEN '' THEN '/' ELSE path END || coalesce('?' || j.query, '') AS canonical FROM p LEFT JOIN j ON p.page_id = j.page_id WHERE scheme IN ('http', 'https'))
+SELECT c.page_id, canonical, 'sha256:' || sha256(canonical) AS content_id FROM c LEFT JOIN o ON c.page_id = o.page_id"""
+
+
 def html(spark, d):
     return table(spark, d, "pages").select("page_id", web.html_title(F.col("html")).alias("title"), F.md5(web.html_text(F.col("html"))).alias("text_md5"))
 
@@ -186,10 +196,11 @@ def near_duplicates(spark, d):
 def activity(spark, d):
     ev = table(spark, d, "events").withColumn("at", F.unix_timestamp(F.col("ts").cast("timestamp")))
     lo, hi = ev.agg(F.min("at"), F.max("at")).first()
+    lo, hi = (0, 1) if lo is None else (lo, max(hi, lo + 1))
     return serving.bucketed_activity(ev, "at", lo, hi, 24)
 
 
-ACTIVITY = """WITH e AS (SELECT CAST(floor(epoch(ts)) AS BIGINT) AS sec FROM events), m AS (SELECT min(sec) AS lo, max(sec) AS hi FROM e),
+ACTIVITY = """WITH e AS (SELECT CAST(floor(epoch(ts)) AS BIGINT) AS sec FROM events), m AS (SELECT min(sec) AS lo, greatest(max(sec), min(sec) + 1) AS hi FROM e),
 b AS (SELECT least(CAST(floor((sec - lo) / ((hi - lo) / 24)) AS BIGINT), 23) AS bucket, count(*) AS n FROM e, m GROUP BY 1) SELECT r.bucket, coalesce(b.n, 0) AS n FROM (SELECT unnest(range(24)) AS bucket) r LEFT JOIN b ON r.bucket = b.bucket"""
 
 
@@ -211,6 +222,8 @@ QUEUE = f"q AS (SELECT doc_id, n_chars % 100 / 100.0 AS ranking_score, n_chars %
 
 def _query_cursor(spark, d):
     page = serving.listing(decisions(spark, d), size=5).collect()
+    if len(page) < 5:
+        return serving.listing(decisions(spark, d), size=5).limit(0)
     cursor = serving.encode_cursor("newest", {"valid_from": page[4].valid_from, "doc_id": page[4].doc_id})
     return serving.listing(decisions(spark, d), cursor=cursor, size=5)
 
@@ -262,6 +275,7 @@ ORACLE_SQL = {
     "lang_heuristic": LANGUAGE,
     "entropy_perplexity": PERPLEXITY,
     "dev_quality_score": DEVELOPMENT,
+    "canonical_url": URLS,
     "html_fallback_text": HTML,
     "shingle_counts": SHINGLES,
     "exact_duplicates": "SELECT sha256(text) AS sha, count(*) AS copies, min(doc_id) AS first_doc FROM documents GROUP BY 1 HAVING count(*) > 1",

@@ -36,12 +36,27 @@ def test_sanitise():
     assert sanitise.sanitise("")[1] == []
 
 
-def test_sections():
-    got = sanitise.sections("# Title\n\nintro\n## Methods\ntext\n## Empty\n\n## Results\nmore")
-    assert [(s["title"], s["text"]) for s in got] == [("Title", "intro"), ("Methods", "text"), ("Results", "more")]
-    assert [(s["section_id"], s["title"], s["text"]) for s in sanitise.sections("\n# Title\nintro")] == [("section-1", "Title", "intro")]
-    assert [(s["title"], s["text"]) for s in sanitise.sections("# Only")] == [("Only", "# Only")]
-    assert sanitise.sections(" \n") == []
+def test_sections(spark):
+    texts = ["# Title\n\nintro\n## Methods\ntext\n## Empty\n\n## Results\nmore", "\n# Title\nintro", "# Only", " \n", None, "a\nb\n# Late\n", "## X\n# T\n\n"]
+    got = sanitise.sections(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).orderBy("doc_id", "section_id").collect()
+    assert [tuple(r) for r in got] == [
+        (0, "section-1", "Title", "intro"), (0, "section-2", "Methods", "text"), (0, "section-3", "Results", "more"),
+        (1, "section-1", "Title", "intro"), (2, "section-1", "Only", "# Only"), (5, "section-1", "Document body", "a\nb"), (6, "section-1", "T", "## X\n# T"),
+    ]
+
+
+def test_canonical_urls(spark):
+    from gristmill.functions import web
+
+    cases = {
+        "http://x.com/?a=1&a-b=2": "http://x.com/?a=1&a-b=2", "https://X.com/?q=a%20b&z=%7E": "https://x.com/?q=a+b&z=~", "http://u:p@X.com:8080/a": "http://x.com:8080/a",
+        "  HTTP://EX.com:80 ": "http://ex.com/", "https://e.com:443/p?b=2&a=1&a=0#f": "https://e.com/p?a=0&a=1&b=2", "https://e.com/?a=&b&utm_s=1&%75tm_x=2&REF=3": "https://e.com/",
+        "http://x.com/x?q=1*~ü+%zz": "http://x.com/x?q=1%2A~%C3%BC+%25zz", "ftp://x/": None, "http://x:abc/": None, "": None, "http://x.com?k=v=w&e=%26%3D": "http://x.com/?e=%26%3D&k=v%3Dw",
+    }
+    one = lambda urls: [r[0] for r in spark.createDataFrame([(u,) for u in urls], "u string").select(web.canonical_url(F.col("u"))).collect()]
+    got = one(cases)
+    assert got == list(cases.values())
+    assert one([x for x in got if x]) == [x for x in got if x]
 
 
 def test_ordinal(spark):
