@@ -42,16 +42,28 @@ def _count(items: Column, test) -> Column:
     return F.size(F.filter(items, test))
 
 
-def gopher(w: Column, ln: Column) -> dict[str, Column]:
-    """The word and line statistics, from arrays of words and lines."""
-    stop = F.array(*map(F.lit, STOP_WORDS))
-    n, m = F.size(w), F.size(ln)
+_BLANK = r"\s\x1c-\x1f"
+
+
+def _with(chars: str) -> str:
+    """A word that holds one of the characters; tried at the beginnings of words only."""
+    return rf"(?U)(?<![^{_BLANK}])[^{_BLANK}{chars}]*+[{chars}][^{_BLANK}]*+"
+
+
+def word_count(text: Column) -> Column:
+    return F.regexp_count(text, F.lit(rf"(?U)[^{_BLANK}]++"))
+
+
+def gopher(text: Column, ln: Column) -> dict[str, Column]:
+    """The word and line statistics, from a text and the array of its lines; words are counted by one pass for each statistic."""
+    n, m = word_count(text), F.size(ln)
+    stop = rf"(?U)(?<![^{_BLANK}])(?:{'|'.join(w for w in STOP_WORDS if w.islower())})(?![^{_BLANK}])"
     return {
         "word_count": n.cast("bigint"),
-        "mean_word_len": share(F.aggregate(w, F.lit(0).cast("bigint"), lambda a, x: a + F.length(x)), n),
-        "stopword_ratio": share(_count(w, lambda x: F.array_contains(stop, F.lower(x))), n),
-        "symbol_word_ratio": share(_count(w, lambda x: x.rlike(r"[#@&*<>{}\[\]\\]")), n),
-        "alpha_word_ratio": share(_count(w, lambda x: x.rlike(r"\p{L}")), n),
+        "mean_word_len": share(F.length(F.regexp_replace(text, SPACE, "")), n),
+        "stopword_ratio": share(F.regexp_count(F.lower(text), F.lit(stop)), n),
+        "symbol_word_ratio": share(F.regexp_count(text, F.lit(_with(r"#@&*<>{}\[\]\\"))), n),
+        "alpha_word_ratio": share(F.regexp_count(text, F.lit(_with(r"\p{L}"))), n),
         "bullet_line_ratio": share(_count(ln, lambda x: x.rlike("^[•*\\-●▪‣⁃]")), m),
         "ellipsis_line_ratio": share(_count(ln, lambda x: x.rlike(r"(\.\.\.|…)$")), m),
     }
@@ -73,10 +85,10 @@ def ends_sentence(ln: Column) -> Column:
     return share(_count(ln, lambda x: x.rlike('[.!?"”’)]$')), F.size(ln))
 
 
-def is_filler(text: Column, w: Column) -> Column:
+def is_filler(text: Column, words: Column) -> Column:
     low = F.lower(text)
     hits = sum(((F.length(low) - F.length(F.replace(low, F.lit(p)))) / len(p) for p in FILLER), F.lit(0))
-    return (hits > 0) & ((F.size(w) <= 40) | (hits >= 3))
+    return (hits > 0) & ((words <= 40) | (hits >= 3))
 
 
 def heuristic_language(w: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gristmill.functions import cards, markup, routing, scoring, validity
 from gristmill.functions import text as T
 from gristmill.operators import evidence, serving
-from gristmill.sources.tables import table
+from gristmill.sources.tables import spread, table
 
 TITLES = ["Usage", "Limitations", "Dataset structure", "Overview", "Notes"]
 WORDS = r"list_filter(string_split_regex(text, '\s+'), lambda w: w <> '')"
@@ -182,9 +182,9 @@ FROM (SELECT page_id, CASE WHEN page_id % 4 = 1 THEN 'metadata-discovery-only' W
 def curate_documents(spark, d):
     """Word, sentence, language and quality rules together: reasons in order, composite quality, route and risk."""
     c, labels = F.col, table(spark, d, "labels").groupBy("doc_id").agg(F.min("quality").alias("label"))
-    own = _docs(spark, d).select("doc_id", "text", T.words(c("text")).alias("w"), T.lines(c("text")).alias("ln"))
-    own = own.withColumns({k: v for k, v in T.gopher(c("w"), c("ln")).items()})
-    own = own.withColumns({"gopher": T.gopher_passes(), "c4": (T.ends_sentence(c("ln")) >= 0.12) & ~c("text").rlike("[{}]") & ~T.is_filler(c("text"), c("w")), "l": T.heuristic_language(c("w"))})
+    own = spread(_docs(spark, d).select("doc_id", "text")).select("doc_id", "text", T.words(c("text")).alias("w"), T.lines(c("text")).alias("ln"))
+    own = own.withColumns({k: v for k, v in T.gopher(c("text"), c("ln")).items()})
+    own = own.withColumns({"gopher": T.gopher_passes(), "c4": (T.ends_sentence(c("ln")) >= 0.12) & ~c("text").rlike("[{}]") & ~T.is_filler(c("text"), F.size("w")), "l": T.heuristic_language(c("w"))})
     # The oracle reads the registered language scores, which are rounded.
     own = own.withColumn("l", c("l").withField("score", F.round("l.score", 6)))
     own = own.join(labels, "doc_id", "left").withColumns({"quality": F.coalesce(c("label") * 2.0 + 2.0, F.lit(3.0)), "pii": F.when(c("text").contains("@"), F.array(F.lit("email"))).otherwise(F.array().cast("array<string>"))})

@@ -13,7 +13,7 @@ from gristmill.functions import text as T
 from gristmill.functions import web
 from gristmill.operators import near_dup, sanitise, serving
 from gristmill.plans import curation
-from gristmill.sources.tables import table
+from gristmill.sources.tables import spread, table
 
 BASE = 1_780_000_000
 NOW = BASE + 40 * 3600
@@ -79,7 +79,7 @@ LINES = "list_filter(list_transform(string_split(text, chr(10)), lambda l: trim(
 
 
 def _docs(spark, d):
-    return table(spark, d, "documents").withColumn("w", T.words(F.col("text"))).withColumn("ln", T.lines(F.col("text")))
+    return spread(table(spark, d, "documents").select("doc_id", "text")).withColumn("ln", T.lines(F.col("text")))
 
 
 def _rounded(df: DataFrame, *cols: str) -> DataFrame:
@@ -91,7 +91,7 @@ RATIOS = ["mean_word_len", "stopword_ratio", "symbol_word_ratio", "alpha_word_ra
 
 def gopher(spark, d):
     own = _docs(spark, d)
-    own = own.select("doc_id", *(c.alias(n) for n, c in T.gopher(F.col("w"), F.col("ln")).items()))
+    own = own.select("doc_id", *(c.alias(n) for n, c in T.gopher(F.col("text"), F.col("ln")).items()))
     return _rounded(own.withColumn("passes", T.gopher_passes()), *RATIOS)
 
 
@@ -108,7 +108,7 @@ FROM (SELECT doc_id, {WORDS} AS w, {LINES} AS ln FROM documents))"""
 
 
 def c4(spark, d):
-    own = _docs(spark, d).withColumn("punct", T.ends_sentence(F.col("ln"))).withColumn("curly", F.col("text").rlike("[{}]")).withColumn("filler", T.is_filler(F.col("text"), F.col("w")))
+    own = _docs(spark, d).withColumn("punct", T.ends_sentence(F.col("ln"))).withColumn("curly", F.col("text").rlike("[{}]")).withColumn("filler", T.is_filler(F.col("text"), T.word_count(F.col("text"))))
     return own.select("doc_id", F.round("punct", 6).alias("punct"), "curly", "filler", ((F.col("punct") >= 0.12) & ~F.col("curly") & ~F.col("filler")).alias("passes"))
 
 
@@ -118,7 +118,7 @@ C4 = f"""SELECT doc_id, round(punct, 6) AS punct, curly, filler, punct >= 0.12 A
 
 
 def language(spark, d):
-    own = _docs(spark, d).withColumn("r", T.heuristic_language(F.col("w")))
+    own = _docs(spark, d).withColumn("w", T.words(F.col("text"))).withColumn("r", T.heuristic_language(F.col("w")))
     return own.select("doc_id", "r.lang", F.round("r.score", 6).alias("score"))
 
 
@@ -128,7 +128,7 @@ FROM (SELECT *, greatest(nen, nde, nfr, nes) AS best FROM (SELECT doc_id, len(ow
 
 
 def perplexity(spark, d):
-    own = table(spark, d, "documents").select("doc_id", T.entropy_proxy(F.col("text")).alias("p"))
+    own = spread(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", T.entropy_proxy(F.col("text")).alias("p"))
     return own.select("doc_id", F.round("p", 4).alias("perplexity"), T.perplexity_bucket(F.col("p")).alias("bucket"))
 
 
@@ -138,8 +138,8 @@ SELECT doc_id, round(p, 4) AS perplexity, CASE WHEN p <= 200 THEN 'head' WHEN p
 
 
 def development_quality(spark, d):
-    g = T.gopher(F.col("w"), F.col("ln"))
-    return _docs(spark, d).select("doc_id", F.size("w").cast("bigint").alias("tokens"), F.round(T.development_quality(g["mean_word_len"], F.size("w")), 6).alias("quality"))
+    g = T.gopher(F.col("text"), F.col("ln"))
+    return _docs(spark, d).select("doc_id", g["word_count"].alias("tokens"), F.round(T.development_quality(g["mean_word_len"], g["word_count"]), 6).alias("quality"))
 
 
 DEVELOPMENT = f"""SELECT doc_id, CAST(len(w) AS BIGINT) AS tokens, round(5 / (1 + exp(-(m - 4))) * CASE WHEN len(w) < 50 THEN 0.5 ELSE 1 END, 6) AS quality
@@ -180,7 +180,7 @@ def sanitised(spark, d):
 def shingle_counts(spark, d):
     w = F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)(\w+)"))
     # The words get a column of their own: an expression inside a lambda would be worked out for each element.
-    own = table(spark, d, "documents").select("doc_id", w.alias("w")).select("doc_id", T.shingles(F.col("w")).alias("s"))
+    own = spread(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", w.alias("w")).select("doc_id", T.shingles(F.col("w")).alias("s"))
     return own.select("doc_id", F.size("s").cast("bigint").alias("shingles"), F.size(F.array_distinct("s")).cast("bigint").alias("different"))
 
 

@@ -10,6 +10,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The frame over as many tasks as there are cores, where a scan of few row groups gives less; a large scan stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def write_decisions(df: DataFrame, path: str) -> None:
     """Partitioned by language, risk tier and month of validity; rows of a partition meet before they are written."""
     own = df.withColumn("valid_month", F.date_format(F.timestamp_seconds("valid_from"), "yyyy-MM"))
