@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from gristmill.functions.text import is_filler, word_count
+
 #: Family, training_text, language_gate, web_heuristic_gate and kenlm_mode of each source policy.
 POLICIES = {
     "metadata-discovery-only": ("discovery_metadata", False, False, False, "off"),
@@ -110,3 +112,14 @@ def purpose_route(route: Column, usage: Column) -> Column:
 
 def pii_action(rejects: Column, body_removed: Column, metadata_removed: Column) -> Column:
     return F.when(F.array_contains(rejects, "pii_detected"), "body_quarantine").when(body_removed, "body_redacted").when(metadata_removed, "metadata_removed").otherwise("none")
+
+
+def preflight(causes: dict[str, Column]) -> dict[str, Column]:
+    """Whether any cause makes the costly scores needless, and the names of those that hold, in order."""
+    held = F.array_compact(F.array(*[F.when(F.coalesce(x, F.lit(False)), k) for k, x in causes.items()]))
+    return {"rejected": F.size(held) > 0, "causes": F.array_join(held, ",")}
+
+
+def excluded_from_web(text: Column) -> Column:
+    """Whether a web page's section is left out: braces, or filler text."""
+    return text.rlike("[{}]") | is_filler(text, word_count(text))

@@ -52,6 +52,19 @@ def similarity(a, b):
     return F.when(F.size(a) == F.size(b), same / F.size(a)).otherwise(0.0)
 
 
+def probe(asked: DataFrame, docs: DataFrame, clustered: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, cluster and is_duplicate of texts that are only looked up: the anchors of ``clustered`` stay as they are.
+
+    A bucket belongs to the least anchor that has it; of similar owners the one of the first band counts. No owner: cluster is null.
+    """
+    anchors = signatures(docs.join(clustered.filter(~F.col("is_duplicate")).select(F.col("doc_id").alias(key)), key, "left_semi"), key, text)
+    owners = band_rows(anchors).groupBy("band", "key").agg(F.min(F.struct("doc_id", "sig")).alias("owner"))
+    own = signatures(asked, key, text)
+    met = band_rows(own).join(owners, ["band", "key"]).filter(similarity(F.col("sig"), F.col("owner.sig")) >= SIMILAR)
+    best = met.groupBy("doc_id").agg(F.min(F.struct("band", F.col("owner.doc_id").alias("cluster"))).alias("best"))
+    return own.select("doc_id").join(best, "doc_id", "left").select("doc_id", F.col("best.cluster").alias("cluster"), F.col("best").isNotNull().alias("is_duplicate"))
+
+
 def band_rows(sigs: DataFrame) -> DataFrame:
     keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.slice(F.col("sig"), b * ROWS + 1, ROWS)))
     return sigs.select("doc_id", "sig", F.posexplode(keys).alias("band", "key"))
