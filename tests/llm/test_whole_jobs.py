@@ -60,3 +60,26 @@ def test_benchmark_passage_with_one_weighted_word(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     bench = spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")
     assert sorted(r.doc_id for r in decontaminate.leaks(docs, bench).collect()) == [1000 + i for i in range(12)]
+
+
+def test_pipeline_on_odd_rows(spark, docs, docs_pdf, no_docs, tmp_path):
+    """Null, empty, blank, repeated and long texts, null ids and clashing columns; the last stage packs what the others keep."""
+    import corpus_pipeline
+
+    bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    for name, table in (("odd", docs), ("none", no_docs)):
+        table.write.parquet(str(tmp_path / name / "documents.parquet"))
+        bench.write.parquet(str(tmp_path / name / "benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+    own = spark.read.parquet(str(tmp_path / "odd" / "documents.parquet"))
+    kept = own
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = kept.count()
+        kept = stage(spark, kept, str(tmp_path / "odd")).checkpoint()
+        assert kept.columns == own.columns and kept.count() <= before, name
+    got = corpus_pipeline.run(spark, str(tmp_path / "odd")).toPandas()
+    number = lambda ids: sorted(-1 if pd.isna(i) else int(i) for i in ids)
+    assert number(got.doc_id[got.piece == 0]) == number(r.doc_id for r in kept.select("doc_id").collect())
+    ids = set(number(got.doc_id))
+    assert not ids & {900001, 900002, 900003, 900004} and {-1, 900006, 900007} <= ids
+    assert (got.doc_id[got.piece == 0] == 900005).sum() <= 1
