@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from gristmill.plans import registry
+from gristmill.plans import corpus, registry
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -23,13 +23,16 @@ def plain(v):
     return v if isinstance(v, (str, bool, type(None))) else float(v) if hasattr(v, "__float__") else str(v)
 
 
-@pytest.mark.parametrize("name", sorted(registry.QUERIES))
+QUERIES, ORACLE_SQL = registry.QUERIES | corpus.QUERIES, registry.ORACLE_SQL | corpus.ORACLE_SQL
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    got = registry.QUERIES[name](spark, SF)
+    got = QUERIES[name](spark, SF)
     rows = [tuple(plain(r[c]) for c in sorted(got.columns)) for r in got.collect()]
     assert rows
-    if name in registry.ORACLE_SQL:
-        cur = con.execute(registry.ORACLE_SQL[name])
+    if name in ORACLE_SQL:
+        cur = con.execute(ORACLE_SQL[name])
         cols = [x[0] for x in cur.description]
         want = [tuple(plain(dict(zip(cols, r, strict=True))[c]) for c in sorted(cols)) for r in cur.fetchall()]
         assert sorted(got.columns) == sorted(cols)
