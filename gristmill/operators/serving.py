@@ -113,6 +113,54 @@ def dataset_summary(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count("*").alias("documents"), F.countDistinct("doc_id").alias("distinct_documents"), F.sum("tokens").alias("tokens"), versions("scoring_version"), versions("policy_revision"), versions("lang"))
 
 
+def recent_admissions(admissions: DataFrame, limit: int = 20) -> DataFrame:
+    """The last admissions seen, at most a hundred."""
+    return admissions.orderBy(F.desc("observed_at"), "decision_id").limit(max(1, min(limit, 100)))
+
+
+def batch_watermark(batch: DataFrame) -> DataFrame:
+    """The newest validity of a batch, for the record only: late rows are kept."""
+    return batch.agg(F.max("valid_from").alias("watermark"), F.count(F.lit(1)).alias("n"))
+
+
+def retry_envelopes(decisions: DataFrame, most: int = 3) -> DataFrame:
+    """A control record for each document that is to be extracted again and has tries left."""
+    own = decisions.filter((F.col("route") == "retry") & (F.coalesce("attempt", F.lit(0)) < most))
+    return own.select("doc_id", "source_feed", (F.coalesce("attempt", F.lit(0)) + 1).alias("attempt"), F.lit("extract").alias("action"), F.col("valid_from").alias("requested_at"))
+
+
+def enqueue(queue: DataFrame, batch: DataFrame, key: str = "doc_id", payload: str = "payload") -> DataFrame:
+    """The queue after a batch: new keys enter, rows still queued take a changed payload and a new ordinal, all others stay as they are.
+
+    ``queue`` has key, payload, state and ordinal; the batch has key and payload, and of several payloads the last one by value counts.
+    """
+    new = batch.groupBy(key).agg(F.max(payload).alias("new_"))
+    both = queue.join(new, key, "full_outer")
+    fresh = F.col("state").isNull() & F.col("new_").isNotNull()
+    changed = fresh | (F.col("new_").isNotNull() & (F.col("state") == "queued") & ~F.col("new_").eqNullSafe(F.col(payload)))
+    top = F.lit(queue.agg(F.max("ordinal")).first()[0] or 0)
+    both = both.withColumn("changed_", changed)
+    taken = ranked(both.filter("changed_"), F.asc(key), name="rank_").select(key, F.col("new_").alias(payload), F.lit("queued").alias("state"), (top + F.col("rank_")).cast("bigint").alias("ordinal"))
+    return both.filter("not changed_").select(key, payload, "state", F.col("ordinal").cast("bigint").alias("ordinal")).unionByName(taken)
+
+
+def dashboard(artifacts: DataFrame, audits: DataFrame, runs: DataFrame) -> DataFrame:
+    """(section, key, n): artifacts by state and kind, their latest audit's verdict, runs by provider's latest status, tokens by provider.
+
+    ``artifacts`` has artifact_id, kind and state; ``audits`` artifact_id, at, audit_id and verdict; ``runs`` run_id, provider, at, status and usage (JSON).
+    """
+    last_audit = first_by(audits, ["artifact_id"], F.desc("at"), F.desc("audit_id"))
+    last_run = first_by(runs, ["provider"], F.desc("at"), F.desc("run_id"))
+    tokens = F.coalesce(F.get_json_object("usage", "$.total_tokens").cast("bigint"), F.lit(0))
+    part = lambda df, section, key, n: df.groupBy(F.col(key).alias("key")).agg(n.cast("bigint").alias("n")).select(F.lit(section).alias("section"), "key", "n")
+    one = F.count(F.lit(1))
+    parts = [part(artifacts, "state", "state", one), part(artifacts, "kind", "kind", one), part(last_audit, "verdict", "verdict", one), part(last_run, "status", "status", one), part(runs, "tokens", "provider", F.sum(tokens))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def source_activity(decisions: DataFrame, now: int, hours: int) -> DataFrame:
     since = now - max(1, min(hours, 168)) * 3600
     feed = F.when(F.col("source_feed").startswith("rss-arxiv-"), "rss-arxiv").otherwise(F.col("source_feed"))
@@ -138,12 +186,26 @@ def weighted_median(df: DataFrame, key: str, value: str, weight: str) -> DataFra
     return own.filter(F.col("run_") * 2 >= F.col("all_")).groupBy(key).agg(F.min(value).alias("weighted_median"))
 
 
+def ranked(df: DataFrame, *order: Column, name: str = "position") -> DataFrame:
+    """The rows numbered from 1 in an order, without bringing them into one task: ranges of the order are numbered side by side.
+
+    The sorted rows are written first, as their ranges are drawn anew whenever they are worked out.
+    """
+    rows = df.orderBy(*order).withColumn("range_", F.spark_partition_id()).withColumn("place_", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)).checkpoint()
+    before, starts = 0, []
+    for r in sorted(rows.groupBy("range_").count().collect()):  # as many rows as there are tasks
+        starts.append((r[0], before))
+        before += r[1]
+    spark = df.sparkSession
+    return rows.join(F.broadcast(spark.createDataFrame(starts, "range_ int, start_ bigint")), "range_").withColumn(name, (F.col("start_") + F.col("place_") + 1).cast("int")).drop("range_", "place_", "start_")
+
+
 def daily_cohort(queue: DataFrame, cutoff: int, limit: int | None = None) -> DataFrame:
     """Rows enqueued in (cutoff - 24 h, cutoff], ranked; the same cutoff gives the same cohort."""
     own = queue.filter((F.col("enqueued_at") > cutoff - 86_400) & (F.col("enqueued_at") <= cutoff))
     order = [F.desc("ranking_score"), F.desc("quality_score"), F.asc("enqueued_at"), F.asc("doc_id")]
     top = own.orderBy(*order).limit(limit) if limit else own
-    return top.withColumn("position", F.row_number().over(Window.orderBy(*order)))
+    return ranked(top, *order)
 
 
 def pool_split(df: DataFrame, pool: str, first_seen: str, key: str) -> DataFrame:

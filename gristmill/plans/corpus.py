@@ -7,9 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gristmill.functions import cards, licence, routing
+from gristmill.functions import cards, licence, markup, routing
 from gristmill.functions import text as T
-from gristmill.operators import documents, near_dup, sanitise
+from gristmill.operators import documents, near_dup, sanitise, serving
 from gristmill.plans import registry
 from gristmill.sources.tables import spread, table
 
@@ -162,11 +162,46 @@ def probes(spark, d):
     return near_dup.probe(asked, docs, near_dup.clusters(docs))
 
 
+def blocks(spark, d):
+    """Sections by underlined headings, and their paragraphs."""
+    text = F.concat(F.lit("Doc\n===\n"), F.replace(F.replace(F.col("text"), F.lit("\n"), F.lit("\n\n")), F.lit(". "), F.lit(".\nPart\n----\n")))
+    own = table(spark, d, "documents").filter("doc_id is not null").select("doc_id", markup.setext_as_atx(text).alias("text"))
+    own = sanitise.sections(own).withColumn("p", markup.paragraphs(F.col("text")))
+    return own.groupBy("doc_id").agg(F.count_if(F.col("title") == "Part").alias("parts"), F.sum(F.size("p")).alias("paragraphs"))
+
+
+def queued(spark, d):
+    """Orders as a queue, and a batch of new, changed and equal payloads."""
+    registry._shared(spark)
+    k = F.col("o_orderkey")
+    own = table(spark, d, "orders").filter(k % 3 != 0).select(k.alias("doc_id"), F.col("o_orderstatus").alias("payload"), F.when(k % 2 == 0, "queued").otherwise("done").alias("state"), k.alias("ordinal"))
+    batch = table(spark, d, "orders").filter(k % 5 == 0).select(k.alias("doc_id"), F.when(k % 4 == 0, "changed").otherwise(F.col("o_orderstatus")).alias("payload"))
+    return serving.enqueue(own, batch)
+
+
+QUEUED = """WITH q AS (SELECT o_orderkey AS doc_id, o_orderstatus AS payload, CASE WHEN o_orderkey % 2 = 0 THEN 'queued' ELSE 'done' END AS state, o_orderkey AS ordinal FROM orders WHERE o_orderkey % 3 <> 0),
+b AS (SELECT o_orderkey AS doc_id, CASE WHEN o_orderkey % 4 = 0 THEN 'changed' ELSE o_orderstatus END AS fresh FROM orders WHERE o_orderkey % 5 = 0),
+j AS (SELECT coalesce(q.doc_id, b.doc_id) AS doc_id, payload, fresh, state, ordinal, fresh IS NOT NULL AND (state IS NULL OR (state = 'queued' AND fresh <> payload)) AS changed FROM q FULL JOIN b ON q.doc_id = b.doc_id)
+SELECT doc_id, payload, state, CAST(ordinal AS BIGINT) AS ordinal FROM j WHERE NOT changed UNION ALL SELECT doc_id, fresh, 'queued', (SELECT max(ordinal) FROM q) + row_number() OVER (ORDER BY doc_id) FROM j WHERE changed"""
+
+
+def board(spark, d):
+    ev, i = table(spark, d, "events"), F.col("event_id")
+    artifacts = table(spark, d, "documents").filter("doc_id is not null").select(F.col("doc_id").alias("artifact_id"), "lang", F.col("source").alias("kind"), F.when(F.col("doc_id") % 3 == 0, "ready").otherwise("open").alias("state"))
+    audits = ev.select((i % 50).alias("artifact_id"), F.col("ts").alias("at"), i.alias("audit_id"), F.when(i % 3 == 0, "pass").otherwise("fail").alias("verdict"))
+    runs = ev.select(i.alias("run_id"), F.col("event_type").alias("provider"), F.col("ts").alias("at"), F.when(i % 2 == 0, "ok").otherwise("error").alias("status"), F.concat(F.lit('{"total_tokens": '), i % 10, F.lit("}")).alias("usage"))
+    return serving.dashboard(artifacts, audits, runs)
+
+
+BOARD = """SELECT 'state' AS section, CASE WHEN doc_id % 3 = 0 THEN 'ready' ELSE 'open' END AS key, count(*) AS n FROM documents WHERE doc_id IS NOT NULL GROUP BY 2 UNION ALL SELECT 'kind', source, count(*) FROM documents WHERE doc_id IS NOT NULL GROUP BY 2
+UNION ALL SELECT 'verdict', CASE WHEN id % 3 = 0 THEN 'pass' ELSE 'fail' END, count(*) FROM (SELECT arg_max(event_id, (ts, event_id)) AS id FROM events GROUP BY event_id % 50) GROUP BY 2
+UNION ALL SELECT 'status', CASE WHEN id % 2 = 0 THEN 'ok' ELSE 'error' END, count(*) FROM (SELECT arg_max(event_id, (ts, event_id)) AS id FROM events GROUP BY event_type) GROUP BY 2 UNION ALL SELECT 'tokens', event_type, CAST(sum(event_id % 10) AS BIGINT) FROM events GROUP BY 2"""
+
 DOC = 12
 QUERIES = {
     "license_decisions": lambda s, d: admissions(s, d).select("doc_id", "decision_id", "license_id", "status", "reason", "evidence_scope"),
     "license_gate": gates,
-    "license_recent": lambda s, d: admissions(s, d).orderBy(F.desc("observed_at"), "decision_id").limit(20).select("decision_id", "doc_id", "status", "license_id", "observed_at"),
+    "license_recent": lambda s, d: serving.recent_admissions(admissions(s, d)).select("decision_id", "doc_id", "status", "license_id", "observed_at"),
     "admissions_written": lambda s, d: written(s, d).select("decision_id", "doc_id", "observed_at"),
     "document_listing": lambda s, d: documents.page(every(s, d), SOME, size=100),
     "document_count": lambda s, d: documents.count(every(s, d), SOME),
@@ -178,6 +213,11 @@ QUERIES = {
     "segment_scores": scored_segments,
     "document_sections": sections,
     "structured_blocks": structured,
+    "markdown_blocks": blocks,
+    "queue_upsert": queued,
+    "foundry_dashboard": board,
+    "retry_envelopes": lambda s, d: serving.retry_envelopes(rich(s, d).withColumn("attempt", F.col("doc_id") % 5).withColumn("route", F.when(F.col("doc_id") % 4 == 0, "retry").otherwise("pretrain"))).select("doc_id", "attempt", "action", "requested_at"),
+    "batch_watermark": lambda s, d: serving.batch_watermark(rich(s, d)),
     "near_dup_probe": probes,
     "orders_as_of_batch": lambda s, d: documents.as_of_batch(table(s, d, "orders").withColumn("batch_id", F.col("o_orderkey") % 10), 6).agg(F.count("*").alias("n"), F.max("batch_id").alias("last")),
 }
@@ -200,5 +240,11 @@ ORACLE_SQL = {
     "kept_segments": "SELECT conv_id, count(*) AS kept FROM conversations WHERE conv_id IS NOT NULL AND NOT (conv_id % 3 = 0 AND turn % 5 <> 0 AND turn % 7 = 3) AND NOT (conv_id % 3 = 1 AND (turn % 5 = 0 OR (turn % 7 <> 3 AND regexp_matches(text, '[{}]')))) GROUP BY 1",
     "segment_scores": SEGMENTS,
     "document_sections": SECTIONS,
+    "markdown_blocks": r"""WITH t AS (SELECT doc_id, 'Doc' || chr(10) || replace(replace(text, chr(10), chr(10) || chr(10)), '. ', '.' || chr(10) || chr(1) || chr(10)) AS text FROM documents WHERE doc_id IS NOT NULL), p AS (SELECT doc_id, generate_subscripts(x, 1) AS i, unnest(x) AS body FROM (SELECT doc_id, string_split(text, chr(10) || chr(1) || chr(10)) AS x FROM t)),
+b AS (SELECT doc_id, i, trim(regexp_replace(CASE WHEN i = 1 THEN substring(body, 4) ELSE body END, '^\s+|\s+$', '', 'g')) AS body FROM p) SELECT doc_id, count(*) FILTER (WHERE i > 1) AS parts, CAST(sum(len(list_filter(string_split_regex(body, '\n[ \t]*(\n[ \t]*)+'), lambda x: trim(x) <> ''))) AS BIGINT) AS paragraphs FROM b WHERE body <> '' GROUP BY 1""",
+    "queue_upsert": QUEUED,
+    "foundry_dashboard": BOARD,
+    "retry_envelopes": f"WITH {registry.DECISIONS} SELECT doc_id, doc_id % 5 + 1 AS attempt, 'extract' AS action, valid_from AS requested_at FROM decisions WHERE doc_id % 4 = 0 AND doc_id % 5 < 3",
+    "batch_watermark": f"WITH {registry.DECISIONS} SELECT max(valid_from) AS watermark, count(*) AS n FROM decisions",
     "orders_as_of_batch": "SELECT count(*) AS n, max(o_orderkey % 10) AS last FROM orders WHERE o_orderkey % 10 <= 6",
 }

@@ -6,6 +6,8 @@ derived from them by plain expressions, which the oracles repeat.
 
 from __future__ import annotations
 
+from tempfile import gettempdir
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,10 +24,18 @@ LICENCES = ["MIT", "apache 2.0", "cc by-nc-sa 4.0", "https://creativecommons.org
 
 
 def _shared(spark: SparkSession) -> None:
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        from tempfile import gettempdir
+    """Sets the checkpoint folder that the session names; a temporary one only where the master is local."""
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(named or f"{gettempdir()}/gristmill")
+
 
-        spark.sparkContext.setCheckpointDir(spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or f"{gettempdir()}/gristmill")
+def cohort(spark, d):
+    _shared(spark)
+    return serving.daily_cohort(queue(spark, d), BASE + 100_000).select("doc_id", "position")
 
 
 def decisions(spark: SparkSession, d: str) -> DataFrame:
@@ -257,7 +267,7 @@ QUERIES = {
     "license_admissions": lambda s, d: admissions(s, d).groupBy("status", "license_id").agg(F.count("*").alias("n")),
     "weighted_median": median,
     "activity_buckets": activity,
-    "daily_cohort": lambda s, d: serving.daily_cohort(queue(s, d), BASE + 100_000).select("doc_id", "position"),
+    "daily_cohort": cohort,
     "pool_split": lambda s, d: serving.pool_split(table(s, d, "conversations").groupBy("conv_id").agg(F.max("turn").alias("turns")).withColumn("pool", F.when(F.col("conv_id") % 3 == 0, "rl").otherwise("sft")), "pool", "turns", "conv_id").select("conv_id", "pool", "ordinal", "split"),
     "stratified_split": lambda s, d: serving.stratified_split(table(s, d, "documents").select("doc_id", "source"), "source", "doc_id"),
     "diverse_selection": lambda s, d: serving.capped_selection(queue(s, d), "source", 2, 25, F.desc("ranking_score"), F.asc("doc_id")).select("doc_id", "source", "ranking_score"),
