@@ -7,7 +7,7 @@ import re
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
@@ -42,8 +42,10 @@ def signature(texts: pd.Series) -> pd.Series:
     return pd.Series([lanes(t) for t in texts])
 
 
-def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    return docs.select(F.col(key).alias("doc_id"), signature(F.col(text)).alias("sig")).filter("sig is not null")
+def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text", generation: str | None = None) -> DataFrame:
+    """doc_id, gen (whose signatures never meet another generation's) and sig of the texts that have a word."""
+    gen = F.col(generation).cast("string") if generation else F.lit("")
+    return docs.select(F.col(key).alias("doc_id"), F.coalesce(gen, F.lit("")).alias("gen"), signature(F.col(text)).alias("sig")).filter("sig is not null")
 
 
 def similarity(a, b):
@@ -66,13 +68,15 @@ def probe(asked: DataFrame, docs: DataFrame, clustered: DataFrame, key: str = "d
 
 
 def band_rows(sigs: DataFrame) -> DataFrame:
-    keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.slice(F.col("sig"), b * ROWS + 1, ROWS)))
+    keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(F.col("gen"), b, F.slice(F.col("sig"), b * ROWS + 1, ROWS)))
     return sigs.select("doc_id", "sig", F.posexplode(keys).alias("band", "key"))
 
 
 def parts(bands: DataFrame) -> DataFrame:
     """doc_id and part: documents that share buckets, directly or through others, have one part (least id)."""
-    own = bands.select("doc_id", "band", "key").withColumn("n", F.count("*").over(Window.partitionBy("band", "key"))).filter("n > 1").drop("n").checkpoint()
+    own = bands.select("doc_id", "band", "key")
+    # Counted with partial sums first, so that no task holds the rows of a bucket that much of the corpus shares.
+    own = own.join(own.groupBy("band", "key").count().filter("count > 1").drop("count"), ["band", "key"], "left_semi").checkpoint()
     label = own.select("doc_id").distinct().withColumn("part", F.col("doc_id"))
     while True:  # labels only fall, so they come to rest
         # The least label of a document's buckets, and the label of the document it names: paths halve, so long chains take few rounds.
@@ -102,18 +106,26 @@ def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["doc_id", "cluster", "is_duplicate"])
 
 
-def clusters(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, cluster (its anchor's id) and is_duplicate; documents arrive in order of id.
+def owned_everywhere(docs: DataFrame, key: str = "doc_id", text: str = "text", generation: str | None = None) -> DataFrame:
+    """doc_id and is_duplicate by the older rule: all of a document's bands were seen before, in whatever documents; in order of id."""
+    rows = band_rows(signatures(docs, key, text, generation)).select("doc_id", "band", "key")
+    first = rows.groupBy("band", "key").agg(F.min("doc_id").alias("first"))
+    seen = rows.join(first, ["band", "key"]).groupBy("doc_id").agg(F.count_if(F.col("first") < F.col("doc_id")).alias("n"))
+    return seen.select("doc_id", (F.col("n") == BANDS).alias("is_duplicate"))
+
+
+def clusters(docs: DataFrame, key: str = "doc_id", text: str = "text", generation: str | None = None) -> DataFrame:
+    """doc_id, cluster (its anchor's id) and is_duplicate; documents arrive in order of id, each generation on its own.
 
     Documents without any shared bucket are their own anchors and never reach the sequential step; exact copies of a
     signature follow their first arrival, so a part holds distinct signatures only.
     """
-    sigs = signatures(docs, key, text).checkpoint()
-    firsts = sigs.groupBy("sig").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "sig")
+    sigs = signatures(docs, key, text, generation).checkpoint()
+    firsts = sigs.groupBy("gen", "sig").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "gen", "sig")
     part = parts(band_rows(firsts))
     done = firsts.join(part, "doc_id").groupBy("part").applyInPandas(lambda p: greedy(p.sort_values("doc_id")), "doc_id bigint, cluster bigint, is_duplicate boolean")
-    by_sig = firsts.join(done, "doc_id", "left").select("sig", F.col("doc_id").alias("first"), F.coalesce("cluster", "doc_id").alias("cluster"))
-    return sigs.join(by_sig, "sig").select("doc_id", "cluster", (F.col("doc_id") != F.col("cluster")).alias("is_duplicate"))
+    by_sig = firsts.join(done, "doc_id", "left").select("gen", "sig", F.col("doc_id").alias("first"), F.coalesce("cluster", "doc_id").alias("cluster"))
+    return sigs.join(by_sig, ["gen", "sig"]).select("doc_id", "cluster", (F.col("doc_id") != F.col("cluster")).alias("is_duplicate"))
 
 
 def exact_copies(docs: DataFrame) -> DataFrame:

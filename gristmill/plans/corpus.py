@@ -162,6 +162,13 @@ def probes(spark, d):
     return near_dup.probe(asked, docs, near_dup.clusters(docs))
 
 
+def generations(spark, d):
+    """Clusters of two generations of the documents, which never meet."""
+    registry._shared(spark)
+    docs = table(spark, d, "documents").filter("doc_id is not null")
+    return near_dup.clusters(docs.withColumn("gen", F.col("doc_id") % 2), generation="gen")
+
+
 def blocks(spark, d):
     """Sections by underlined headings, and their paragraphs."""
     text = F.concat(F.lit("Doc\n===\n"), F.replace(F.replace(F.col("text"), F.lit("\n"), F.lit("\n\n")), F.lit(". "), F.lit(".\nPart\n----\n")))
@@ -219,6 +226,8 @@ QUERIES = {
     "retry_envelopes": lambda s, d: serving.retry_envelopes(rich(s, d).withColumn("attempt", F.col("doc_id") % 5).withColumn("route", F.when(F.col("doc_id") % 4 == 0, "retry").otherwise("pretrain"))).select("doc_id", "attempt", "action", "requested_at"),
     "batch_watermark": lambda s, d: serving.batch_watermark(rich(s, d)),
     "near_dup_probe": probes,
+    "near_dup_generations": generations,
+    "near_dup_older_rule": lambda s, d: near_dup.owned_everywhere(table(s, d, "documents").filter("doc_id is not null")),
     "orders_as_of_batch": lambda s, d: documents.as_of_batch(table(s, d, "orders").withColumn("batch_id", F.col("o_orderkey") % 10), 6).agg(F.count("*").alias("n"), F.max("batch_id").alias("last")),
 }
 
