@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gristmill.functions import cards, markup, routing, scoring, validity
+from gristmill.functions import cards, licence, markup, routing, scoring, validity
 from gristmill.functions import text as T
 from gristmill.operators import evidence, serving
 from gristmill.sources.tables import spread, table
@@ -188,7 +188,7 @@ def curate_documents(spark, d):
     # The oracle reads the registered language scores, which are rounded.
     own = own.withColumn("l", c("l").withField("score", F.round("l.score", 6)))
     own = own.join(labels, "doc_id", "left").withColumns({"quality": F.coalesce(c("label") * 2.0 + 2.0, F.lit(3.0)), "pii": F.when(c("text").contains("@"), F.array(F.lit("email"))).otherwise(F.array().cast("array<string>"))})
-    reasons = scoring.reject_reasons({"low_quality": c("quality") < 3, "short": c("word_count") < 50, "web": c("doc_id") % 2 == 0, "scientific": c("doc_id") % 2 == 1, "fails_gopher": ~c("gopher"), "fails_c4": ~c("c4"), "foreign": (c("l.lang") != "en") | (c("l.score") < 0.5), "licence": c("doc_id") % 17 == 0})
+    reasons = scoring.reject_reasons({"low_quality": c("quality") < 3, "short": c("word_count") < 50, "web": c("doc_id") % 2 == 0, "scientific": c("doc_id") % 2 == 1, "fails_gopher": ~c("gopher"), "fails_c4": ~c("c4"), "foreign": (c("l.lang") != "en") | (c("l.score") < 0.5), "licence": licence.gate(F.lit("pretrain_and_posttrain"), F.when(c("doc_id") % 17 == 0, "proprietary").otherwise("MIT")).isNotNull()})
     own = own.withColumn("reasons", reasons).withColumn("s", scoring.prose_scores(F.lit(None).cast("string"), c("text"), c("word_count"), F.lit(0), F.lit(True), c("quality")))
     own = own.withColumn("composite", T.composite_quality(c("s.structure"), c("quality"), c("l.score") * 5.0)).withColumn("route", routing.base_route(c("reasons"), c("s.reasoning") + F.when(c("doc_id") % 5 == 0, 0.2).otherwise(0.0), F.lit(True)))
     return own.select("doc_id", F.array_join("reasons", ",").alias("reasons"), F.round("composite", 9).alias("composite"), "route", T.risk_tier(c("pii"), c("reasons")).alias("risk_tier"), T.is_trainable(T.risk_tier(c("pii"), c("reasons")), c("route"), c("reasons"), c("pii")).alias("trainable"))

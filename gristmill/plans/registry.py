@@ -183,6 +183,12 @@ def pii_flags(spark, d):
     return table(spark, d, "documents").select("doc_id", F.size(web.valid_ipv4(t)).alias("ipv4"), F.size(web.cards(t)).alias("cards"), F.size(web.emails(t)).alias("emails"))
 
 
+PII = r"""WITH d AS (SELECT doc_id, list_distinct(regexp_extract_all(text, '\b[\pL\pN_.+-]+@[\pL\pN_-]+\.[\pL\pN_.-]+\b')) AS emails, list_distinct(regexp_extract_all(text, '\b(?:\d{1,3}\.){3}\d{1,3}\b')) AS ips,
+  list_distinct(list_transform(regexp_extract_all(text, '\b(?:\d[ -]?){13,19}\b'), lambda x: regexp_replace(x, '[^0-9]', '', 'g'))) AS cards FROM documents)
+SELECT doc_id, len(list_filter(ips, lambda x: len(list_filter(string_split(x, '.'), lambda p: CAST(p AS INT) > 255)) = 0))::INT AS ipv4,
+  len(list_filter(cards, lambda x: length(x) BETWEEN 13 AND 19 AND list_sum(list_transform(range(length(x)), lambda i: CASE WHEN i % 2 = 0 THEN CAST(substring(x, length(x) - i, 1) AS INT) WHEN CAST(substring(x, length(x) - i, 1) AS INT) > 4 THEN 2 * CAST(substring(x, length(x) - i, 1) AS INT) - 9 ELSE 2 * CAST(substring(x, length(x) - i, 1) AS INT) END)) % 10 = 0))::INT AS cards, len(emails)::INT AS emails FROM d"""
+
+
 def sanitised(spark, d):
     return table(spark, d, "documents").withColumn("r", sanitise.sanitised("text")).select("doc_id", F.md5("r.text").alias("text_md5"), "r.flags", "r.blocking", "r.n")
 
@@ -280,6 +286,7 @@ QUERIES = {
 FLAGSHIP = "corpus_overview"
 
 ORACLE_SQL = {
+    "pii_flags": PII,
     "gopher_stats": GOPHER,
     "c4_stats": C4,
     "lang_heuristic": LANGUAGE,
