@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import itertools
 import os
 import tempfile
@@ -94,6 +95,13 @@ def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def give_back() -> None:
+    """Returns freed memory to the system at the end of a task; else a worker that is used again holds what its largest task took."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library than glibc
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def text_chunks(batches: Iterator[pa.RecordBatch], max_chars: int, text: str = "text") -> Iterator[tuple[dict[str, list], list[str]]]:
     """Column lists and texts (null as "") in chunks of about ``max_chars`` characters; one longer text makes a chunk of its own."""
     for batch in batches:
@@ -117,6 +125,8 @@ def map_texts(df: DataFrame, schema: str, make: Callable[[], Callable[[dict, lis
         f = make()
         for cols, texts in text_chunks(batches, max_chars):
             yield pa.RecordBatch.from_pydict(f(cols, texts), schema=out)
+        del f
+        give_back()
 
     return df.mapInArrow(run, schema)
 

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import CLASSES, SAMPLE_CHARS, WordTable, class_sample, is_held_out, lockstep, map_texts, remainder, side_by_side, within_chars
+from gristmill.llm.common import CLASSES, SAMPLE_CHARS, WordTable, class_sample, give_back, is_held_out, lockstep, map_texts, remainder, side_by_side, within_chars
 
 PER_LANG = 500
 BUCKETS = 1 << 16
@@ -244,9 +244,11 @@ def recognised(docs: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
             at, size = 0, 0
             for i, t in enumerate(texts):
                 size += len(t)
-                if size > 4_000_000 or i == len(texts) - 1:
+                if size > 2_000_000 or i == len(texts) - 1:
                     keep += [lang != "und" for lang in who.predict(texts[at : i + 1])[0]]
                     at, size = i + 1, 0
             yield batch.filter(pa.array(keep, pa.bool_()))
+        del who
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)

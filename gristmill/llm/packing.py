@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import stored, text_chunks
+from gristmill.llm.common import give_back, stored, text_chunks
 
 CAPACITY = 2048
 GROUP_PIECES = 8000  #: pieces of a group, about, in the first round
@@ -100,7 +100,7 @@ class TokenIds:
     through the tokenizer as it is.
     """
 
-    def __init__(self, path: str, words: int = 600_000, chars: int = 12_000_000):
+    def __init__(self, path: str, words: int = 400_000, chars: int = 8_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -183,7 +183,7 @@ def pieces(docs: DataFrame, path: str) -> DataFrame:
     def run(batches):
         tokens = token_ids(path)
         salt, count = TaskContext.get().partitionId(), 0
-        for cols, texts in text_chunks(batches, 2_000_000):
+        for cols, texts in text_chunks(batches, 1_000_000):
             rows: list[list] = [[] for _ in out]
             for doc, ids in zip(cols["doc_id"], tokens.encode(texts), strict=True):
                 ids += b"\x00\x00\x00\x00"
@@ -194,6 +194,7 @@ def pieces(docs: DataFrame, path: str) -> DataFrame:
                     for into, v in zip(rows, (doc, k // CAPACITY, k, len(own) // 4, zlib.crc32(own), slot), strict=True):
                         into.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(rows, out, strict=True)], schema=out)
+        give_back()
 
     return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(run, _PIECES)
 

@@ -22,7 +22,7 @@ from re import _parser as sre_parse
 import numpy as np
 from pyspark.sql import DataFrame
 
-from gristmill.llm.common import map_texts, text_chunks
+from gristmill.llm.common import give_back, map_texts, text_chunks
 
 #: Fixed values of the contract's base kinds: kind, expression, group to measure, least length of it.
 BASE = (
@@ -257,7 +257,7 @@ def redacted(docs: DataFrame) -> DataFrame:
         for batch in batches:
             at = batch.schema.names.index("text")
             texts = batch.column(at).to_pylist()
-            spans = [s for _, part in text_chunks([batch.select(["text"])], 4_000_000) for s in scanner.scan(part)]
+            spans = [s for _, part in text_chunks([batch.select(["text"])], 2_000_000) for s in scanner.scan(part)]
             new = [None if t is None else redact(t, s) if s else t for t, s in zip(texts, spans, strict=True)]
             arrays = list(batch.columns)
             arrays[at] = pa.array(new, batch.schema.field(at).type)
@@ -265,5 +265,7 @@ def redacted(docs: DataFrame) -> DataFrame:
                 n = names.index("n_chars")
                 arrays[n] = pa.array([old if a == b else len(b) for a, b, old in zip(texts, new, arrays[n].to_pylist(), strict=True)], batch.schema.field(n).type)
             yield pa.RecordBatch.from_arrays(arrays, schema=batch.schema)
+        del scanner
+        give_back()
 
     return docs.mapInArrow(run, schema)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from gristmill.llm.common import cut, map_texts, stored, text_chunks
+from gristmill.llm.common import cut, give_back, map_texts, stored, text_chunks
 
 BITS = 4
 SHINGLE = 4
@@ -318,6 +318,7 @@ def with_fingerprints(docs: DataFrame, name: str) -> DataFrame:
             text = pa.RecordBatch.from_arrays([batch.column(batch.schema.names.index("text"))], names=["text"])
             fps = [fingerprints_of(t).view(np.int64) for _, t in text_chunks([text], 1_000_000)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate([np.zeros(0, np.int64), *fps]))], names=[*batch.schema.names, name])
+        give_back()
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, LongType())]))
 
