@@ -75,3 +75,22 @@ def test_structured_blocks_and_underlined_headings(spark):
     assert got[1] == (3, [3], "[TABLE] [EMAIL]\n\n[EQUATION] x\n\n[FIGURE] card [CREDIT_CARD]") and got[2][0] == 0 and got[3][2] == ""
     one = spark.createDataFrame([("T\n===\na\n\nb\nPart\r\n---\nc\n\n---\n",)], "t string").select(markup.setext_as_atx(F.col("t")).alias("t")).first().t
     assert one == "# T\na\n\nb\n## Part\nc\n\n---\n"
+
+
+ODD = ["", " \n", None, "# A", "# A\n## B\n", "## B\n# A\n# C", "x\n# A\n", "\n# A\n\n## B", "#\n# \n#x", "x", "a\n# T  \n b \r\n\r\n## U\x85c\x0b#### V\nd\n", "# A\n# A\n#######  no\nz", "## B\n\n# A", "####### x\n#  y"]
+
+
+def test_sections_need_no_exchange(spark):
+    """A text that met its lines in an exchange was there once for each of them."""
+    df = spark.createDataFrame(list(enumerate(ODD)), "doc_id int, text string")
+    own = sanitise.sections(df)
+    plan = own._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+    got = {}
+    for r in own.collect():
+        got.setdefault(r.doc_id, []).append((r.section_id, r.title, r.text))
+    one = lambda title, text: [("section-1", title, text)]
+    assert got == {
+        3: one("A", "# A"), 4: one("A", "# A\n## B"), 5: one("A", "## B\n# A\n# C"), 6: one("Document body", "x"), 7: one("Document body", "# A\n\n## B"), 8: one("Document body", "#\n# \n#x"), 9: one("Document body", "x"),
+        10: [("section-1", "Document body", "a"), ("section-2", "T", "b"), ("section-3", "U", "c"), ("section-4", "V", "d")], 11: one("A", "#######  no\nz"), 12: one("Document body", "## B\n\n# A"), 13: one("Document body", "####### x"),
+    }
