@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from gristmill.functions import licence, markup
 from gristmill.operators import documents, sanitise, serving
+from gristmill.plans import corpus
 
 
 def test_safe_query_takes_one_select(spark):
@@ -94,3 +95,9 @@ def test_sections_need_no_exchange(spark):
         3: one("A", "# A"), 4: one("A", "# A\n## B"), 5: one("A", "## B\n# A\n# C"), 6: one("Document body", "x"), 7: one("Document body", "# A\n\n## B"), 8: one("Document body", "#\n# \n#x"), 9: one("Document body", "x"),
         10: [("section-1", "Document body", "a"), ("section-2", "T", "b"), ("section-3", "U", "c"), ("section-4", "V", "d")], 11: one("A", "#######  no\nz"), 12: one("Document body", "## B\n\n# A"), 13: one("Document body", "####### x"),
     }
+
+
+def test_blocks_exchange_counts_only(spark):
+    """What meets in an exchange are the counts of a document, not its text."""
+    plan = corpus.blocks(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Window" not in plan and "collect_list" not in plan
