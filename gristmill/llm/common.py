@@ -5,9 +5,6 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import itertools
-import os
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,6 +12,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gristmill.sources.tables import dropped, shared_dir, shuffles_dropped, stored
+
+__all__ = ["dropped", "shared_dir", "shuffles_dropped", "stored"]
+
 #: Longest text, in characters, that a training sample takes; scoring has no such bound.
 SAMPLE_TEXT_CHARS = 262_144
 #: Most classes of a sample, the most frequent ones.
@@ -39,18 +40,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Where none is configured, a temporary one, which only a local master can use."""
-    conf = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if conf:
-        return conf.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    own = os.path.join(tempfile.gettempdir(), "gristmill-checkpoints")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
-
-
 def cut(df: DataFrame) -> DataFrame:
     """The frame with its lineage cut by a reliable checkpoint in the shared folder."""
     spark = df.sparkSession
@@ -60,41 +49,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """The frame written as Parquet to the shared folder and read again (columns stay prunable). The table goes when the driver ends."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    files, place = _files(spark, path)
-    files.deleteOnExit(place)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def _files(spark: SparkSession, path: str):
-    """The file system of a path, and the path as it names it."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
-
-
-def dropped(df: DataFrame) -> None:
-    """Deletes the table of a stored frame before the driver ends; nothing may read it, or be worked out from it, after that."""
-    for file in df.inputFiles()[:1]:
-        files, place = _files(df.sparkSession, file.rpartition("/")[0])
-        files.delete(place, True)
-
-
-@contextlib.contextmanager
-def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
-    """Within it, the shuffle files of a query are dropped when the query has ended."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, "false")
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def give_back() -> None:
     """Returns freed memory to the system at the end of a task; else a worker that is used again holds what its largest task took."""
     pa.default_memory_pool().release_unused()

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
+from gristmill.sources.tables import dropped, shuffles_dropped, stored
+
 BANDS, ROWS = 28, 4
 SIMILAR = 0.80
 
@@ -54,39 +56,60 @@ def similarity(a, b):
     return F.when(F.size(a) == F.size(b), same / F.size(a)).otherwise(0.0)
 
 
-def probe(asked: DataFrame, docs: DataFrame, clustered: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def signed(docs: DataFrame, key: str = "doc_id", text: str = "text", generation: str | None = None) -> DataFrame:
+    """Stored signatures: doc_id, gen, sig, 128 bits (d1, d2) by which equal signatures of a generation are known, and the keys of the bands.
+
+    Only these short forms meet in exchanges; a signature is read again where two are compared.
+    """
+    own = signatures(docs, key, text, generation)
+    return stored(own.withColumns({"d1": F.xxhash64("gen", "sig"), "d2": F.xxhash64(F.lit("copy"), "gen", "sig"), "keys": band_keys()}))
+
+
+def probe(asked: DataFrame, docs: DataFrame, clustered: DataFrame, key: str = "doc_id", text: str = "text", sigs: DataFrame | None = None) -> DataFrame:
     """doc_id, cluster and is_duplicate of texts that are only looked up: the anchors of ``clustered`` stay as they are.
 
     A bucket belongs to the least anchor that has it; of similar owners the one of the first band counts. No owner: cluster is null.
+    ``sigs`` are the stored signatures of ``docs``, if they are there already.
     """
-    anchors = signatures(docs.join(clustered.filter(~F.col("is_duplicate")).select(F.col("doc_id").alias(key)), key, "left_semi"), key, text)
-    owners = band_rows(anchors).groupBy("band", "key").agg(F.min(F.struct("doc_id", "sig")).alias("owner"))
-    own = signatures(asked, key, text)
-    met = band_rows(own).join(owners, ["band", "key"]).filter(similarity(F.col("sig"), F.col("owner.sig")) >= SIMILAR)
+    sigs = signed(docs, key, text) if sigs is None else sigs
+    anchors = clustered.filter(~F.col("is_duplicate")).select("doc_id")
+    own = signed(asked, key, text)
+    with shuffles_dropped(sigs.sparkSession):
+        owners = band_rows(sigs.select("doc_id", "d1", "d2", "keys").join(anchors, "doc_id", "left_semi")).groupBy("band", "key").agg(F.min(F.struct("doc_id", "d1", "d2")).alias("owner"))
+        # The owners that a text meets, each once, with the first band; then their signatures.
+        met = stored(band_rows(own).join(owners, ["band", "key"]).groupBy("doc_id", "d1", "d2", "owner").agg(F.min("band").alias("band")))
+    theirs = sigs.select(F.struct("doc_id", "d1", "d2").alias("owner"), F.col("sig").alias("sig_"))
+    met = met.join(own.select("doc_id", "d1", "d2", "sig"), ["doc_id", "d1", "d2"]).join(theirs, "owner").filter(similarity(F.col("sig"), F.col("sig_")) >= SIMILAR)
     best = met.groupBy("doc_id").agg(F.min(F.struct("band", F.col("owner.doc_id").alias("cluster"))).alias("best"))
     return own.select("doc_id").join(best, "doc_id", "left").select("doc_id", F.col("best.cluster").alias("cluster"), F.col("best").isNotNull().alias("is_duplicate"))
 
 
+def band_keys():
+    return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(F.col("gen"), b, F.slice(F.col("sig"), b * ROWS + 1, ROWS)))
+
+
 def band_rows(sigs: DataFrame) -> DataFrame:
-    keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(F.col("gen"), b, F.slice(F.col("sig"), b * ROWS + 1, ROWS)))
-    return sigs.select("doc_id", "sig", F.posexplode(keys).alias("band", "key"))
+    return sigs.select("doc_id", *(c for c in ("d1", "d2") if c in sigs.columns), F.posexplode("keys").alias("band", "key"))
 
 
 def parts(bands: DataFrame) -> DataFrame:
     """doc_id and part: documents that share buckets, directly or through others, have one part (least id)."""
     own = bands.select("doc_id", "band", "key")
     # Counted with partial sums first, so that no task holds the rows of a bucket that much of the corpus shares.
-    own = own.join(own.groupBy("band", "key").count().filter("count > 1").drop("count"), ["band", "key"], "left_semi").checkpoint()
-    label = own.select("doc_id").distinct().withColumn("part", F.col("doc_id"))
+    own = stored(own.join(own.groupBy("band", "key").count().filter("count > 1").drop("count"), ["band", "key"], "left_semi"))
+    label = stored(own.select("doc_id").distinct().withColumn("part", F.col("doc_id")))
     while True:  # labels only fall, so they come to rest
         # The least label of a document's buckets, and the label of the document it names: paths halve, so long chains take few rounds.
         bucket = own.join(label, "doc_id").groupBy("band", "key").agg(F.min("part").alias("low"))
-        step = own.join(bucket, ["band", "key"]).groupBy("doc_id").agg(F.min("low").alias("part")).checkpoint()
+        step = stored(own.join(bucket, ["band", "key"]).groupBy("doc_id").agg(F.min("low").alias("part")))
         onward = step.select(F.col("doc_id").alias("part"), F.col("part").alias("next"))
-        step = step.join(onward, "part").select("doc_id", F.least("part", "next").alias("part")).checkpoint()
-        moved = step.alias("s").join(label.alias("l"), "doc_id").filter("s.part <> l.part").limit(1).count()
-        label = step
+        after = stored(step.join(onward, "part").select("doc_id", F.least("part", "next").alias("part")))
+        moved = after.alias("s").join(label.alias("l"), "doc_id").filter("s.part <> l.part").limit(1).count()
+        dropped(step)
+        dropped(label)
+        label = after
         if not moved:
+            dropped(own)
             return label
 
 
@@ -108,24 +131,27 @@ def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
 
 def owned_everywhere(docs: DataFrame, key: str = "doc_id", text: str = "text", generation: str | None = None) -> DataFrame:
     """doc_id and is_duplicate by the older rule: all of a document's bands were seen before, in whatever documents; in order of id."""
-    rows = band_rows(signatures(docs, key, text, generation)).select("doc_id", "band", "key")
+    rows = band_rows(signatures(docs, key, text, generation).withColumn("keys", band_keys())).select("doc_id", "band", "key")
     first = rows.groupBy("band", "key").agg(F.min("doc_id").alias("first"))
     seen = rows.join(first, ["band", "key"]).groupBy("doc_id").agg(F.count_if(F.col("first") < F.col("doc_id")).alias("n"))
     return seen.select("doc_id", (F.col("n") == BANDS).alias("is_duplicate"))
 
 
-def clusters(docs: DataFrame, key: str = "doc_id", text: str = "text", generation: str | None = None) -> DataFrame:
+def clusters(docs: DataFrame, key: str = "doc_id", text: str = "text", generation: str | None = None, sigs: DataFrame | None = None) -> DataFrame:
     """doc_id, cluster (its anchor's id) and is_duplicate; documents arrive in order of id, each generation on its own.
 
     Documents without any shared bucket are their own anchors and never reach the sequential step; exact copies of a
-    signature follow their first arrival, so a part holds distinct signatures only.
+    signature follow their first arrival, so a part holds distinct signatures only. ``sigs`` as in ``probe``.
     """
-    sigs = signatures(docs, key, text, generation).checkpoint()
-    firsts = sigs.groupBy("gen", "sig").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "gen", "sig")
-    part = parts(band_rows(firsts))
-    done = firsts.join(part, "doc_id").groupBy("part").applyInPandas(lambda p: greedy(p.sort_values("doc_id")), "doc_id bigint, cluster bigint, is_duplicate boolean")
-    by_sig = firsts.join(done, "doc_id", "left").select("gen", "sig", F.col("doc_id").alias("first"), F.coalesce("cluster", "doc_id").alias("cluster"))
-    return sigs.join(by_sig, ["gen", "sig"]).select("doc_id", "cluster", (F.col("doc_id") != F.col("cluster")).alias("is_duplicate"))
+    sigs = signed(docs, key, text, generation) if sigs is None else sigs
+    same = ["gen", "d1", "d2"]
+    with shuffles_dropped(sigs.sparkSession):
+        firsts = stored(sigs.groupBy(*same).agg(F.min("doc_id").alias("doc_id")))
+        part = parts(band_rows(sigs.select("doc_id", *same, "keys").join(firsts, ["doc_id", *same], "left_semi")))
+        members = sigs.select("doc_id", *same, "sig").join(firsts.join(part, "doc_id"), ["doc_id", *same])
+        done = stored(members.groupBy("part").applyInPandas(lambda p: greedy(p.drop_duplicates(same).sort_values("doc_id")), "doc_id bigint, cluster bigint, is_duplicate boolean"))
+    by_sig = firsts.join(done, "doc_id", "left").select(*same, F.coalesce("cluster", "doc_id").alias("cluster"))
+    return sigs.select("doc_id", *same).join(by_sig, same).select("doc_id", "cluster", (F.col("doc_id") != F.col("cluster")).alias("is_duplicate"))
 
 
 def exact_copies(docs: DataFrame) -> DataFrame:

@@ -60,3 +60,14 @@ def test_probe_changes_nothing(spark, signed):
             keys = [(b, tuple(sig[4 * b : 4 * b + 4])) for b in range(28)]
             want[int(i)] = next((owner[k] for k in keys if k in owner and sum(x == y for x, y in zip(sig, anchor[owner[k]], strict=True)) / 112 >= 0.8), None)
     assert {r.doc_id: r.cluster for r in corpus.probes(spark, SF).collect()} == want
+
+
+def test_band_rows_carry_no_signature(spark):
+    """28 rows a document, each with its signature, filled the disks; odd and repeated texts keep their clusters."""
+    docs = spark.createDataFrame([(1, "a b c d e f g"), (2, "a b c d e f g"), (3, ""), (4, None), (5, "z"), (6, "Z")], "doc_id bigint, text string")
+    sigs = near_dup.signed(docs)
+    assert near_dup.band_rows(sigs).columns == ["doc_id", "d1", "d2", "band", "key"]
+    got = near_dup.clusters(docs, sigs=sigs)
+    assert {r.doc_id: r.cluster for r in got.collect()} == {1: 1, 2: 1, 5: 5, 6: 5}
+    asked = spark.createDataFrame([(1, "A b c d e f g"), (1, "other words"), (9, "z"), (10, "q")], "doc_id bigint, text string")
+    assert sorted((r.doc_id, r.cluster) for r in near_dup.probe(asked, docs, got, sigs=sigs).filter("is_duplicate").collect()) == [(1, 1), (1, 1), (9, 5)]
