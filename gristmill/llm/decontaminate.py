@@ -5,7 +5,7 @@ columns and weighted by inverse document frequency over passages of all document
 in more than `STOP` of the passages carry no weight, unless a benchmark passage has no other. Passages that have few
 others are searched a second time with their rarest half weighted, by a latent space of its own, as a window's
 other words would outweigh the few. A randomised singular value decomposition of the
-TF-IDF passages, worked out by distributed passes that add up the parts of A'(AX), gives the latent
+TF-IDF passages, worked out by one distributed pass that adds up the parts of A'(AX), gives the latent
 space. Windows of 16, 32 and 64 words slide over every whole document by half their length; each is
 projected, and its cosine with the benchmark items of its scale, relative to an item's with itself in
 the latent space, picks candidates. A candidate is
@@ -13,8 +13,7 @@ contaminated if the longest common subsequence of the item and the words around
 `SAME` of the item, or `ALIKE` of it and the item's answer terms (its rarest third) are mostly there too,
 which catches paraphrases. Items of under `SHORT` words must occur word for word.
 
-The decomposition is fitted on all benchmark passages and a bounded, documented sample of documents
-(about `SAMPLE`, by a hash of the id); frequencies, windows and searches cover everything. Null texts and
+Decomposition, frequencies, windows and searches cover all benchmark passages and all documents. Null texts and
 items have no word and match nothing. Repeated rows are judged row by row, repeated items once each id.
 Empty tables give an empty result. Extra columns are ignored. Benchmarks beyond `ITEMS` passages are
 searched in several runs of that many, so that what is sent to the tasks has a fixed bound.
@@ -26,16 +25,14 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import SAMPLE_TEXT_CHARS, give_back, shuffles_dropped, text_chunks
+from gristmill.llm.common import give_back, shuffles_dropped, text_chunks
 
 TERMS = 1 << 15
 RANK, MORE = 64, 16
 EMPHASIS = 20.0
-SAMPLE = 1500
 STOP = 0.02
 STEP = 8  #: words of a step; windows are 2, 4 and 8 steps
 SCALES = (2, 4, 8)
@@ -166,9 +163,13 @@ def _rows(ids: np.ndarray, lengths: np.ndarray, idf: np.ndarray) -> tuple[np.nda
     """Unit TF-IDF rows of 64-word passages as (row, column, value), and their number."""
     within = np.arange(len(ids)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     row = np.cumsum(within % (STEP * SCALES[-1]) == 0) - 1
-    pairs = np.unique(row * TERMS + ids % TERMS)  # a term counts once in a passage: one word repeated is no topic
-    count = int(row[-1]) + 1 if len(row) else 0
-    row, col = pairs // TERMS, pairs % TERMS
+    size, count = STEP * SCALES[-1], int(row[-1]) + 1 if len(row) else 0
+    grid = np.full((count, size), -1, np.int32)
+    grid[row, within % size] = ids % TERMS
+    grid.sort(axis=1)
+    first = grid >= 0
+    first[:, 1:] &= grid[:, 1:] != grid[:, :-1]  # a term counts once in a passage: one word repeated is no topic
+    row, col = np.nonzero(first)[0], grid[first].astype(np.int64)
     w = idf[col]
     norm = np.sqrt(np.bincount(row, weights=w.astype(np.float64) ** 2, minlength=count))
     keep = w > 0
@@ -177,60 +178,76 @@ def _rows(ids: np.ndarray, lengths: np.ndarray, idf: np.ndarray) -> tuple[np.nda
 
 
 def _gram_product(ids: np.ndarray, lengths: np.ndarray, idf: np.ndarray, x: np.ndarray, into: np.ndarray) -> None:
-    """Adds A'(AX) of the passages to ``into``."""
+    """Adds A'(AX) of the passages to ``into``, both by dimension (width x TERMS).
+
+    Weights and products are rounded to multiples of 2^-16 and 2^-14, so that sums in double are exact and in no order.
+    """
     row, col, w, n = _rows(ids, lengths, idf)
     if not len(row):
         return
+    w = np.round(w * 65536.0) / 65536.0
+    w32 = w.astype(np.float32)
     starts = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-    y = np.add.reduceat(x[col] * w[:, None], starts)
-    y = np.repeat(y, np.diff(np.concatenate([starts, [len(row)]])), axis=0) * w[:, None]
+    line = np.repeat(np.arange(len(starts)), np.diff(np.concatenate([starts, [len(row)]])))
     order = np.argsort(col, kind="stable")
     first = np.flatnonzero(np.concatenate([[True], col[order][1:] != col[order][:-1]]))
-    into[col[order][first]] += np.add.reduceat(y[order], first)
+    at, line, w = col[order][first], line[order], w[order]
+    for d in range(len(x)):
+        y = np.round(np.add.reduceat(x[d].take(col) * w32, starts).astype(np.float64) * 16384.0) / 16384.0
+        into[d][at] += np.add.reduceat(y.take(line) * w, first)
 
 
-def latent_space(docs: DataFrame, items: list[str], idf: np.ndarray, total: int, sample: int = SAMPLE) -> np.ndarray:
-    """The leading right singular vectors (TERMS x RANK) of benchmark passages and sampled document passages.
+def latent_spaces(docs: DataFrame, items: list[str], idfs: list[np.ndarray], passages: int) -> list[np.ndarray]:
+    """For each weighting the leading right singular vectors (TERMS x RANK) of benchmark passages and all documents' passages.
 
-    Benchmark rows weigh `EMPHASIS` times as much as the sample's together, so that the space keeps their directions.
+    One pass over the documents adds up Y = A'(AX) for all weightings; the vectors are those of the approximation
+    Y (X'Y)^-1 Y' of A'A. Benchmark rows weigh `EMPHASIS` times as much as the documents' ``passages`` together, so that
+    the space keeps their directions. As many tasks as cores read the documents, so the parts' size has no part of the input's.
     """
-    draw = F.pmod(F.xxhash64(F.lit("svd"), F.col("doc_id")), F.lit(1_000_000)) < int(min(1.0, sample / max(1, total)) * 1_000_000 + 0.5)
-    rows = docs.filter(draw & (F.length("text") <= SAMPLE_TEXT_CHARS)).select("text")
-    ids, lengths = Words().of(items)
-    own_rows = max(1, len(items))
     width, slices = RANK + MORE, 64
-
-    def product(x: np.ndarray, weight: float) -> np.ndarray:
-        step = TERMS // slices
-
-        def part(batches):
-            words, out, task = Words(), np.zeros((TERMS, width)), TaskContext.get().partitionId()
-            for _, texts in text_chunks(batches, 500_000):
-                _gram_product(*words.of(texts), idf, x, out)
-            del words
-            give_back()
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(slices)), pa.array([task] * slices), pa.array([out[i * step : (i + 1) * step].tobytes() for i in range(slices)], pa.binary())], names=["slice", "task", "part"])
-
-        def added(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-            s = sum(np.frombuffer(b) for b in table.sort_by("task").column("part").to_pylist())  # in one order, as sums of floats depend on it
-            return pa.table({"slice": pa.array([key[0].as_py()], pa.int64()), "part": pa.array([s.astype(np.float32).tobytes()], pa.binary())})
-
-        out = np.zeros((TERMS, width), np.float32)
-        with shuffles_dropped(docs.sparkSession):
-            parts = rows.repartition(4, F.xxhash64("text")).sortWithinPartitions("text").mapInArrow(part, "slice bigint, task bigint, part binary").groupBy("slice").applyInArrow(added, "slice bigint, part binary").collect()
+    step = TERMS // slices
+    start = np.random.default_rng(3).normal(size=(width, TERMS)).astype(np.float32)
+
+    def part(batches):
+        words, out = Words(), np.zeros((len(idfs), width, TERMS))
+        for _, texts in text_chunks(batches, 500_000):
+            own = words.of(texts)
+            for k, idf in enumerate(idfs):
+                _gram_product(*own, idf, start, out[k])
+        del words
+        give_back()
+        for k in range(len(idfs)):
+            for i in range(slices):
+                yield pa.RecordBatch.from_arrays([pa.array([k * slices + i]), pa.array([out[k, :, i * step : (i + 1) * step].tobytes()], pa.binary())], names=["slice", "part"])
+
+    def added(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        s = np.zeros(width * step)
+        for b in table.column("part"):
+            s += np.frombuffer(b.as_buffer())
+        return pa.table({"slice": pa.array([key[0].as_py()], pa.int64()), "part": pa.array([s.astype(np.float32).tobytes()], pa.binary())})
+
+    y = np.zeros((len(idfs), width, TERMS), np.float32)
+    spark = docs.sparkSession
+    with shuffles_dropped(spark):
+        parts = docs.select("text").coalesce(spark.sparkContext.defaultParallelism).mapInArrow(part, "slice bigint, part binary").groupBy("slice").applyInArrow(added, "slice bigint, part binary").collect()
         for r in parts:
-            out[r.slice * step : (r.slice + 1) * step] = np.frombuffer(r.part, np.float32).reshape(step, width)
-        bench = np.zeros_like(out)
-        _gram_product(ids, lengths, idf, x, bench)
-        return out + weight * bench
+            i = r.slice % slices
+            y[r.slice // slices, :, i * step : (i + 1) * step] = np.frombuffer(r.part, np.float32).reshape(width, step)
+    ids, lengths = Words().of(items)
+    return [_leading(y[k], ids, lengths, idf, start, EMPHASIS * max(1.0, passages / max(1, len(items)))) for k, idf in enumerate(idfs)]
+
 
-    rng = np.random.default_rng(3)
-    start = rng.normal(size=(TERMS, width)).astype(np.float32)
-    weight = EMPHASIS * max(1.0, 8 * sample / own_rows)
-    q = np.linalg.qr(product(start, weight).astype(np.float64))[0].astype(np.float32)
-    t = (q.T @ product(q, weight)).astype(np.float64)
-    values, turns = np.linalg.eigh((t + t.T) / 2)
-    return np.ascontiguousarray(q @ turns[:, np.argsort(-values)[:RANK]].astype(np.float32))
+def _leading(y: np.ndarray, ids: np.ndarray, lengths: np.ndarray, idf: np.ndarray, x: np.ndarray, weight: float) -> np.ndarray:
+    """Singular vectors from the documents' A'(AX) and the benchmark's, which is added ``weight`` times."""
+    bench = np.zeros(y.shape)
+    _gram_product(ids, lengths, idf, x, bench)
+    both = y + weight * bench
+    both += 1e-6 * np.linalg.norm(both) / np.linalg.norm(x) * x  # keeps X'Y from being singular
+    core = x @ both.T
+    values, turns = np.linalg.eigh((core + core.T) / 2)
+    values = np.maximum(values, 1e-9 * max(float(values[-1]), 1e-30))
+    left = np.linalg.svd(both.T @ (turns / np.sqrt(values)), full_matrices=False)[0]
+    return np.ascontiguousarray(left[:, :RANK].astype(np.float32))
 
 
 class Retrieval:
@@ -352,13 +369,10 @@ def _prepared(docs: DataFrame, benchmark: DataFrame) -> list[list[Retrieval]]:
     df, n = frequencies(docs)
     passages = passages_of(items)[1]
     plain, idf = weights(df, n), weights(df, n, passages)
-    total = docs.count()
-    texts = [t for _, t in items]
     few = [p for p in passages if few_weighted(plain, p)]
-    spaces = [(idf, latent_space(docs, texts, idf, total), lambda _: True)]
-    if few:
-        more = raised(df, idf, few)
-        spaces.append((more, latent_space(docs, texts, more, total), lambda p: few_weighted(plain, p)))
+    idfs = [idf, raised(df, idf, few)] if few else [idf]
+    wanted = [lambda _: True, lambda p: few_weighted(plain, p)]
+    spaces = list(zip(idfs, latent_spaces(docs, [t for _, t in items], idfs, n), wanted, strict=False))
     return [[Retrieval(items[a : a + ITEMS], *space) for space in spaces] for a in range(0, len(items), ITEMS)]
 
 

@@ -323,3 +323,25 @@ def test_pipeline(spark):
     ids = [int(i) for i in texts.index]
     fps = [brute_fingerprint(t) for t in texts]
     assert not set(out.doc_id) - set(brute_classes(ids, fps))
+
+
+def test_latent_space_covers_all_documents(spark):
+    """Directions that only one overlong text has are in the space, as the best one has them; the order of rows is of no matter."""
+    from gristmill.llm import decontaminate as D
+
+    rng = np.random.default_rng(1)
+    topics = [[f"w{t}x{i}" for i in range(30)] for t in range(12)]
+    texts = [" ".join(rng.choice(topics[k % 11], 200)) for k in range(60)] + [" ".join(rng.choice(topics[11], 64_000))]
+    assert len(texts[-1]) > 262_144
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    items = [" ".join(rng.choice(topics[k], 20)) for k in range(3)]
+    df, n = D.frequencies(docs)
+    idf = np.ones(D.TERMS, np.float32)
+    v = D.latent_spaces(docs, items, [idf], n)[0]
+    assert np.allclose(v.T @ v, np.eye(D.RANK), atol=1e-4)
+    cols = np.unique(D.Words().of([texts[-1]])[0] % D.TERMS)
+    own = np.zeros(D.TERMS)
+    own[cols] = 1 / np.sqrt(len(cols))
+    assert np.linalg.norm(own @ v) > 0.9
+    again = D.latent_spaces(docs.orderBy("text").repartition(3), items, [idf], n)[0]
+    assert np.array_equal(v, again)
