@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.common import give_back, shuffles_dropped, text_chunks
+from gristmill.llm.common import give_back, lockstep, shuffles_dropped, text_chunks
 
 TERMS = 1 << 15
 RANK, MORE = 64, 16
@@ -41,6 +41,8 @@ COSINE = 0.4
 SAME, ALIKE, ANSWER = 0.75, 0.55, 0.6
 SHORT = 8
 ITEMS = 20_000
+UNITS = 65536.0  #: parts of one in which the basis is added up
+BLOCK = 2048  #: rows that are summed at a time
 _FACTOR = 0x9E3779B97F4A7C15
 _INVERSE = pow(_FACTOR, -1, 1 << 64)
 _IN_WORD = np.array([c >= 128 or chr(c).isalnum() for c in range(256)])
@@ -159,42 +161,69 @@ def raised(df: np.ndarray, idf: np.ndarray, passages: list[list[int]]) -> np.nda
     return out
 
 
-def _rows(ids: np.ndarray, lengths: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """Unit TF-IDF rows of 64-word passages as (row, column, value), and their number."""
+def _columns(ids: np.ndarray, lengths: np.ndarray, weighted: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """The columns of 64-word passages as (row, column), rows in order, columns that carry a weight only, and the passages' number."""
     within = np.arange(len(ids)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     row = np.cumsum(within % (STEP * SCALES[-1]) == 0) - 1
     size, count = STEP * SCALES[-1], int(row[-1]) + 1 if len(row) else 0
     grid = np.full((count, size), -1, np.int32)
     grid[row, within % size] = ids % TERMS
     grid.sort(axis=1)
-    first = grid >= 0
+    first = (grid >= 0) & weighted[grid]
     first[:, 1:] &= grid[:, 1:] != grid[:, :-1]  # a term counts once in a passage: one word repeated is no topic
-    row, col = np.nonzero(first)[0], grid[first].astype(np.int64)
-    w = idf[col]
-    norm = np.sqrt(np.bincount(row, weights=w.astype(np.float64) ** 2, minlength=count))
-    keep = w > 0
-    row, col, w = row[keep], col[keep], w[keep]
-    return row, col, (w / np.maximum(norm[row], 1e-9)).astype(np.float32), len(norm)
-
-
-def _gram_product(ids: np.ndarray, lengths: np.ndarray, idf: np.ndarray, x: np.ndarray, into: np.ndarray) -> None:
-    """Adds A'(AX) of the passages to ``into``, both by dimension (width x TERMS).
-
-    Weights and products are rounded to multiples of 2^-16 and 2^-14, so that sums in double are exact and in no order.
+    return np.nonzero(first)[0], grid[first], count
+
+
+def _summed(table: np.ndarray, take: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For runs of ``counts`` (1 at least) numbers in ``take`` the sums of those rows of the table, each run from its first to its last; and the runs' order in the result."""
+    order, active = lockstep(counts)
+    starts = (np.cumsum(counts) - counts)[order]
+    out = np.empty((len(counts), table.shape[1]), table.dtype)
+    rows = np.empty((min(len(counts), BLOCK), table.shape[1]), table.dtype)
+    for a in range(0, len(counts), BLOCK):
+        own, at = out[a : a + BLOCK], starts[a : a + BLOCK]
+        np.take(table, take[at], axis=0, out=own, mode="clip")
+        for j in range(1, int(counts[order[a]])):
+            n = min(int(active[j]) - a, BLOCK)
+            np.take(table, take[at[:n] + j], axis=0, out=rows[:n], mode="clip")
+            own[:n] += rows[:n]
+    return out, order
+
+
+def _gram_product(ids: np.ndarray, lengths: np.ndarray, idfs: list[np.ndarray], weighed: np.ndarray, into: np.ndarray) -> None:
+    """Adds C'DD(CWX) of the passages to ``into`` (TERMS x weightings * width), with ``weighed`` WX of all weightings side by side.
+
+    C tells which columns a passage has, W weighs them and D scales rows to unit length, so A is DCW, and A'(AX) is W times
+    this. All dimensions of all weightings are read and added a row at a time. What is added is rounded to multiples of
+    1 / `UNITS`, so that sums are exact and in no order.
     """
-    row, col, w, n = _rows(ids, lengths, idf)
+    row, col, n = _columns(ids, lengths, np.any([idf > 0 for idf in idfs], axis=0))
     if not len(row):
         return
-    w = np.round(w * 65536.0) / 65536.0
-    w32 = w.astype(np.float32)
-    starts = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-    line = np.repeat(np.arange(len(starts)), np.diff(np.concatenate([starts, [len(row)]])))
-    order = np.argsort(col, kind="stable")
-    first = np.flatnonzero(np.concatenate([[True], col[order][1:] != col[order][:-1]]))
-    at, line, w = col[order][first], line[order], w[order]
-    for d in range(len(x)):
-        y = np.round(np.add.reduceat(x[d].take(col) * w32, starts).astype(np.float64) * 16384.0) / 16384.0
-        into[d][at] += np.add.reduceat(y.take(line) * w, first)
+    square = np.stack([np.bincount(row, weights=idf[col].astype(np.float64) ** 2, minlength=n) for idf in idfs], axis=1)
+    counts = np.bincount(row, minlength=n)
+    kept = np.flatnonzero(counts)
+    y, order = _summed(weighed, col, counts[kept])
+    scale = (UNITS / np.maximum(square[kept[order]], 1e-9)).astype(np.float32)
+    z = np.rint(y.reshape(len(y), len(idfs), -1) * scale[:, :, None]).reshape(len(y), -1)
+    line = np.empty(n, np.int64)
+    line[kept[order]] = np.arange(len(y))
+    by_col = np.argsort(col.astype(np.uint16), kind="stable")  # two bytes are sorted by radix
+    counts = np.bincount(col, minlength=TERMS)
+    held = np.flatnonzero(counts)
+    exact = np.int32 if float(np.abs(z).max()) * int(counts.max()) < 2**31 else np.int64
+    sums, order = _summed(z.astype(exact), line[row[by_col]], counts[held])
+    for a in range(0, len(sums), BLOCK):
+        into[held[order[a : a + BLOCK]]] += sums[a : a + BLOCK]
+
+
+def _start() -> np.ndarray:
+    """The random directions (TERMS x width) from which the decomposition starts."""
+    return np.ascontiguousarray(np.random.default_rng(3).normal(size=(RANK + MORE, TERMS)).astype(np.float32).T)
+
+
+def _weighed(idfs: list[np.ndarray], x: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(np.concatenate([idf[:, None] * x for idf in idfs], axis=1))
 
 
 def latent_spaces(docs: DataFrame, items: list[str], idfs: list[np.ndarray], passages: int) -> list[np.ndarray]:
@@ -206,47 +235,45 @@ def latent_spaces(docs: DataFrame, items: list[str], idfs: list[np.ndarray], pas
     """
     width, slices = RANK + MORE, 64
     step = TERMS // slices
-    start = np.random.default_rng(3).normal(size=(width, TERMS)).astype(np.float32)
 
     def part(batches):
-        words, out = Words(), np.zeros((len(idfs), width, TERMS))
-        for _, texts in text_chunks(batches, 500_000):
-            own = words.of(texts)
-            for k, idf in enumerate(idfs):
-                _gram_product(*own, idf, start, out[k])
-        del words
+        words, out = Words(), np.zeros((TERMS, len(idfs) * width))
+        weighed = _weighed(idfs, _start())
+        for _, texts in text_chunks(batches, 1_000_000):
+            _gram_product(*words.of(texts), idfs, weighed, out)
+        del words, weighed
         give_back()
-        for k in range(len(idfs)):
-            for i in range(slices):
-                yield pa.RecordBatch.from_arrays([pa.array([k * slices + i]), pa.array([out[k, :, i * step : (i + 1) * step].tobytes()], pa.binary())], names=["slice", "part"])
+        for i in range(slices):
+            yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([out[i * step : (i + 1) * step].tobytes()], pa.binary())], names=["slice", "part"])
 
     def added(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        s = np.zeros(width * step)
+        s = np.zeros(step * len(idfs) * width)
         for b in table.column("part"):
             s += np.frombuffer(b.as_buffer())
-        return pa.table({"slice": pa.array([key[0].as_py()], pa.int64()), "part": pa.array([s.astype(np.float32).tobytes()], pa.binary())})
+        return pa.table({"slice": pa.array([key[0].as_py()], pa.int64()), "part": pa.array([(s / UNITS).astype(np.float32).tobytes()], pa.binary())})
 
-    y = np.zeros((len(idfs), width, TERMS), np.float32)
+    y = np.zeros((TERMS, len(idfs) * width), np.float32)
     spark = docs.sparkSession
     with shuffles_dropped(spark):
         parts = docs.select("text").coalesce(spark.sparkContext.defaultParallelism).mapInArrow(part, "slice bigint, part binary").groupBy("slice").applyInArrow(added, "slice bigint, part binary").collect()
         for r in parts:
-            i = r.slice % slices
-            y[r.slice // slices, :, i * step : (i + 1) * step] = np.frombuffer(r.part, np.float32).reshape(width, step)
-    ids, lengths = Words().of(items)
-    return [_leading(y[k], ids, lengths, idf, start, EMPHASIS * max(1.0, passages / max(1, len(items)))) for k, idf in enumerate(idfs)]
-
-
-def _leading(y: np.ndarray, ids: np.ndarray, lengths: np.ndarray, idf: np.ndarray, x: np.ndarray, weight: float) -> np.ndarray:
-    """Singular vectors from the documents' A'(AX) and the benchmark's, which is added ``weight`` times."""
-    bench = np.zeros(y.shape)
-    _gram_product(ids, lengths, idf, x, bench)
-    both = y + weight * bench
-    both += 1e-6 * np.linalg.norm(both) / np.linalg.norm(x) * x  # keeps X'Y from being singular
-    core = x @ both.T
+            y[r.slice * step : (r.slice + 1) * step] = np.frombuffer(r.part, np.float32).reshape(step, -1)
+    del parts
+    x, bench = _start(), np.zeros(y.shape)
+    _gram_product(*Words().of(items), idfs, _weighed(idfs, x), bench)
+    y += EMPHASIS * max(1.0, passages / max(1, len(items))) / UNITS * bench
+    del bench
+    return [_leading(idf[:, None] * y[:, k * width : (k + 1) * width], x) for k, idf in enumerate(idfs)]
+
+
+def _leading(y: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Singular vectors from A'(AX) and X."""
+    y = y.astype(np.float64)
+    y += 1e-6 * np.linalg.norm(y) / np.linalg.norm(x) * x  # keeps X'Y from being singular
+    core = x.T @ y
     values, turns = np.linalg.eigh((core + core.T) / 2)
     values = np.maximum(values, 1e-9 * max(float(values[-1]), 1e-30))
-    left = np.linalg.svd(both.T @ (turns / np.sqrt(values)), full_matrices=False)[0]
+    left = np.linalg.svd(y @ (turns / np.sqrt(values)), full_matrices=False)[0]
     return np.ascontiguousarray(left[:, :RANK].astype(np.float32))
 
 

@@ -345,3 +345,50 @@ def test_latent_space_covers_all_documents(spark):
     assert np.linalg.norm(own @ v) > 0.9
     again = D.latent_spaces(docs.orderBy("text").repartition(3), items, [idf], n)[0]
     assert np.array_equal(v, again)
+
+
+def test_gram_product_against_dense_matrices():
+    """A'(AX) of both weightings equals that of dense matrices, and sums are the same whatever the chunks and their order."""
+    from gristmill.llm import decontaminate as D
+
+    rng = np.random.default_rng(2)
+    texts = [" ".join(f"w{i}" for i in rng.zipf(1.3, n) % 5000) for n in (1, 40, 64, 65, 500, 0, 900)] + ["solo solo solo"]
+    idfs = [np.where(rng.random(D.TERMS) < 0.3, 0, rng.uniform(0.5, 12, D.TERMS)).astype(np.float32)]
+    idfs.append(np.where(rng.random(D.TERMS) < 0.1, 4, idfs[0]).astype(np.float32))
+    x = D._start()
+    weighed, got = D._weighed(idfs, x), np.zeros((D.TERMS, 2 * x.shape[1]))
+    D._gram_product(*D.Words().of(texts), idfs, weighed, got)
+    again = np.zeros(got.shape)
+    for t in texts[::-1]:
+        D._gram_product(*D.Words().of([t]), idfs, weighed, again)
+    assert np.array_equal(got, again)
+    for k, idf in enumerate(idfs):
+        rows = []
+        for t in texts:
+            ids = D.Words().of([t])[0] % D.TERMS
+            rows += [np.bincount(np.unique(ids[a : a + 64]), minlength=D.TERMS) * idf for a in range(0, len(ids), 64)]
+        a = np.array([r / max(np.linalg.norm(r), 1e-9) for r in rows])
+        want = a.T @ (a @ x)
+        own = idf[:, None] * got[:, k * x.shape[1] : (k + 1) * x.shape[1]] / D.UNITS
+        assert np.linalg.norm(own - want) < 1e-3 * np.linalg.norm(want)
+
+
+def test_gram_product_costs_no_more_than_a_few_times_the_hashing():
+    """All dimensions of both weightings are added a row at a time: by one after another it took about 18 times the hashing of the words, for each weighting."""
+    import time
+
+    from gristmill.llm import decontaminate as D
+
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 20_000, 500)) for _ in range(300)]
+    idfs = [np.full(D.TERMS, 5, np.float32), np.full(D.TERMS, 6, np.float32)]
+    weighed, into = D._weighed(idfs, D._start()), np.zeros((D.TERMS, 2 * (D.RANK + D.MORE)))
+    words, hashing, adding = D.Words(), [], []
+    for _ in range(4):
+        a = time.thread_time()
+        own = words.of(texts)
+        b = time.thread_time()
+        D._gram_product(*own, idfs, weighed, into)
+        hashing.append(b - a)
+        adding.append(time.thread_time() - b)
+    assert min(adding) < 15 * min(hashing)
